@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import media, packing, token_counts
+from . import bitsliced, media, packing, simhash, token_counts
 from .shared import Scope, table
 
 
@@ -17,9 +17,34 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.decode(media.encode(table(spark, sf_dir, "documents"))).drop("tensors", "segments")
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op6_media_columns)}
-ORACLE: dict[str, str] = {}
+def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitsliced.top_k(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k)}
+
+ORACLE = {
+    "op7_exact_top_k": """
+        WITH fine AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+            FROM fine a JOIN fine b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+            WHERE a.vec_id % 50 = 0
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM scored
+        )
+        SELECT query_id, CAST(n AS INTEGER) AS "rank", vec_id, score FROM ranked WHERE n <= 5
+    """,
+}
