@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitsliced, media, packing, simhash, token_counts
+from . import bitsliced, context_tree, media, packing, simhash, token_counts
 from .shared import Scope, table
 
 
@@ -17,6 +17,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.text_scores(table(spark, sf_dir, "documents"))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,7 +33,7 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op3_lm_scoring, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k)}
 
 ORACLE = {
     "op7_exact_top_k": """
