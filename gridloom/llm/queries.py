@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitsliced, context_tree, media, packing, simhash, token_counts
+from . import bitsliced, context_tree, media, packing, simhash, substrings, token_counts
 from .shared import Scope, table
 
 
@@ -33,7 +33,13 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op3_lm_scoring, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k)}
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scope = Scope(spark)
+    made = substrings.without_repeats(table(spark, sf_dir, "documents"), texts=False, scope=scope)
+    return scope.hold(made.select("doc_id", "n_words", "n_removed", "kept_sha256"))
+
+
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op3_lm_scoring, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k, op10_substring_dedup)}
 
 ORACLE = {
     "op7_exact_top_k": """
