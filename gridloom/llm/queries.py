@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bitsliced, context_tree, media, packing, simhash, substrings, token_counts
+from . import bitsliced, context_tree, language_id, media, packing, quality, simhash, substrings, token_counts
 from .shared import Scope, table
 
 
@@ -33,13 +33,23 @@ def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitsliced.top_k(table(spark, sf_dir, "embeddings"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_id.identify(docs, language_id.fit(docs))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.quality_scores(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = Scope(spark)
     made = substrings.without_repeats(table(spark, sf_dir, "documents"), texts=False, scope=scope)
     return scope.hold(made.select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op3_lm_scoring, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op3_lm_scoring, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k, op8_language_id, op9_quality_classifier, op10_substring_dedup)}
 
 ORACLE = {
     "op7_exact_top_k": """
