@@ -29,8 +29,8 @@ from .shared import Scope, id_array, long_ids, pack, ship, shuffle_partitions, u
 DEPTH = 5
 END = 0xFF  # in no UTF-8 text
 FOLDS, HELD_OUT = 7, 2
-CHUNK = 2 << 20
-BLOCK = 32 << 20
+CHUNK = 1 << 20
+BLOCK = 16 << 20
 END_WORD = np.uint64(0x5EED0FE9D1A1B2C3)
 U64 = np.uint64
 TOP = "node int, a double, b double, s double"

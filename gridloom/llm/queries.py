@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import bitsliced, context_tree, language_id, media, packing, quality, simhash, substrings, token_counts
+from . import bitsliced, context_tree, language_id, media, mixing, packing, quality, simhash, substrings, token_counts
 from .shared import Scope, table
 
 
@@ -21,6 +22,12 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return context_tree.text_scores(table(spark, sf_dir, "documents"))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scope = Scope(spark)
+    rows = mixing.mixed(table(spark, sf_dir, "documents"), scope=scope)
+    return scope.hold(rows.withColumn("factor", F.round("factor", 6)).withColumn("probability", F.round("probability", 6)))
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,9 +56,10 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scope.hold(made.select("doc_id", "n_words", "n_removed", "kept_sha256"))
 
 
-QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op3_lm_scoring, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k, op8_language_id, op9_quality_classifier, op10_substring_dedup)}
+QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op3_lm_scoring, op4_source_mixing, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k, op8_language_id, op9_quality_classifier, op10_substring_dedup)}
 
 ORACLE = {
+    "op4_source_mixing": mixing.mixing_sql(),
     "op7_exact_top_k": """
         WITH fine AS (
             SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q

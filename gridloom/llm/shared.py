@@ -71,8 +71,13 @@ class Scope:
         return df
 
 
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package from where it lies."""
+    """Let Python workers import this package from where it lies, and bound a batch's bytes where the session does not."""
+    if spark.conf.get(ARROW_BYTES, None) is None:
+        spark.conf.set(ARROW_BYTES, str(16 << 20))
     env = spark.sparkContext.environment
     parts = env.get("PYTHONPATH", "").split(":")
     if ROOT not in parts:
@@ -119,3 +124,16 @@ def id_array(ids: np.ndarray, null: np.ndarray) -> pa.Array:
 def crc_mod(column: str, modulus: int):
     """crc32 of the id's text, modulo; a null id counts as remainder -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(-1))
+
+
+def join_to_unique(rows: DataFrame, unique: DataFrame, key: str, total: int, share: int = 1000) -> DataFrame:
+    """Inner join of rows with a table that has each key once, with the number ``n`` of rows that have it.
+
+    Keys with over total/share of the rows, at most ``share`` of them, are broadcast; so no task gets a hot key's rows.
+    """
+    hot = F.col("n") * share > total
+    values = [c for c in unique.columns if c not in (key, "n")]
+    few = F.broadcast(unique.where(hot).select(key, *values))
+    marks = F.broadcast(unique.where(hot).select(key))
+    rest = rows.join(marks, key, "left_anti").join(unique.where(~hot).select(key, *values), key)
+    return rows.join(few, key).unionByName(rest)

@@ -19,8 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import components
-from .kernels import LOWER, chunks, ragged, text_buffer, word_spans, xxh64
-from .shared import Scope, id_array, long_ids, ship
+from .kernels import LOWER, chunks, mix, ragged, text_buffer, word_spans, xxh64
+from .shared import Scope, id_array, join_to_unique, long_ids, ship
 
 WORDS, SEED, DISTANCE = 4, 42, 4
 #: Members of a key that one step verifies.
@@ -83,88 +83,87 @@ def key_masks(n: int, distance: int) -> list[int]:
     return [sum(part[i] for i in c) for c in itertools.combinations(range(blocks), blocks - distance)]
 
 
-def spanning(values: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Links that join all values within ``distance`` bits of each other into one tree per component."""
-    left, right, rest = [], [], values
+def spanning(bits: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places of links that join all rows of 64-bit words within ``distance`` bits of each other into one tree per component."""
+    left, right, rest = [], [], np.arange(len(bits))
     while len(rest) > 1:
         front, rest = [rest[0]], rest[1:]
         while front and len(rest):
             x = front.pop()
-            near = np.bitwise_count(rest ^ x) <= distance
+            near = np.bitwise_count(bits[rest] ^ bits[x]).sum(axis=1, dtype=np.int64) <= distance
             if near.any():
                 found = rest[near]
                 rest = rest[~near]
                 left.append(np.full(len(found), x))
                 right.append(found)
-                front += list(found)
-    return (np.concatenate(left), np.concatenate(right)) if left else (values[:0], values[:0])
+                front += found.tolist()
+    empty = np.zeros(0, np.int64)
+    return (np.concatenate(left), np.concatenate(right)) if left else (empty, empty)
 
 
 def _verify(distance: int):
     """Links among equal keys of a partition that is sorted by key; a key's rows may lie in several batches."""
 
-    def links(key, fp):
+    def links(key, node, bits):
         edge = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
         start = np.append(0, edge)
         size = np.diff(np.append(start, len(key)))
         pair = start[size == 2]
-        near = pair[np.bitwise_count(fp[pair] ^ fp[pair + 1]) <= distance]
-        left, right = [fp[near]], [fp[near + 1]]
+        near = pair[np.bitwise_count(bits[pair] ^ bits[pair + 1]).sum(axis=1, dtype=np.int64) <= distance]
+        left, right = [near], [near + 1]
         for s, n in zip(start[size > 2].tolist(), size[size > 2].tolist(), strict=True):
-            a, b = spanning(fp[s : s + n], distance)
-            left.append(a)
-            right.append(b)
-        return np.concatenate(left), np.concatenate(right)
+            a, b = spanning(bits[s : s + n], distance)
+            left.append(s + a)
+            right.append(s + b)
+        return node[np.concatenate(left)], node[np.concatenate(right)]
 
     def run(batches):
-        held_key, held = np.zeros((0, 4), np.int64), np.zeros(0, np.uint64)
+        held = None
         for batch in itertools.chain(batches, [None]):
             if batch is not None:
                 if not batch.num_rows:
                     continue
                 key = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)], 1)
-                fp = batch.column(4).to_numpy(zero_copy_only=False).view(np.uint64)
-                held_key, held = np.concatenate([held_key, key]), np.concatenate([held, fp])
-                same = (held_key == held_key[-1]).all(axis=1)
+                node = batch.column(4).to_numpy(zero_copy_only=False)
+                bits = node.view(np.uint64)[:, None] if batch.num_columns == 5 else text_buffer(batch.column(5))[0].view(np.uint64).reshape(len(node), -1)
+                held = (key, node, bits) if held is None else tuple(np.concatenate(x) for x in zip(held, (key, node, bits), strict=True))
+                same = (held[0] == held[0][-1]).all(axis=1)
                 cut = len(same) - int(np.argmin(same[::-1])) if not same.all() else 0
             else:
-                cut = len(held)
+                cut = len(held[0]) if held else 0
             if cut:
-                u, v = links(held_key[:cut], held[:cut])
-                held_key, held = held_key[cut:], held[cut:]
-                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
+                u, v = links(*(x[:cut] for x in held))
+                held = tuple(x[cut:] for x in held)
+                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
 
     return run
 
 
-def near_links(prints: DataFrame, n: int, *, distance: int = DISTANCE, members: int = MEMBERS) -> DataFrame:
-    """Links (u, v) that connect all distinct fingerprints within ``distance`` bits; prints has a column fingerprint without repeats."""
-    signed = [m - (1 << 64) if m >> 63 else m for m in key_masks(n, distance)]
-    keys = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fingerprint").bitwiseAND(F.lit(m).cast("long")).alias("part")) for i, m in enumerate(signed)]))
-    keyed = prints.select("fingerprint", keys.alias("k")).select(F.col("k.mask").alias("mask"), F.col("k.part").alias("part"), "fingerprint")
+def verified(keyed: DataFrame, distance: int, members: int = MEMBERS) -> DataFrame:
+    """Links (u, v) that connect all nodes that share a key and differ in at most ``distance`` bits.
+
+    keyed has mask, part (the key), node and, unless the node is its own 64 bits, a binary column
+    bits. A key with more than ``members`` nodes is cut into chunks; all pairs of chunks are verified.
+    """
+    rest = keyed.columns[2:]
     large = keyed.groupBy("mask", "part").agg(F.count("*").alias("n")).where(F.col("n") > members)
     if large.isEmpty():
-        dealt = keyed.select("mask", "part", F.lit(0).alias("i"), F.lit(0).alias("j"), "fingerprint")
+        dealt = keyed.select("mask", "part", F.lit(0).alias("i"), F.lit(0).alias("j"), *rest)
     else:
         large = large.select("mask", "part", F.ceil(F.col("n") / members).cast("int").alias("cut"))
         dealt = keyed.join(large, ["mask", "part"], "left").withColumn("cut", F.coalesce("cut", F.lit(1)))
-        dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fingerprint"), F.col("cut")).cast("int"))
+        dealt = dealt.withColumn("own", F.pmod(F.xxhash64("node"), F.col("cut")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
-        dealt = dealt.select("mask", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "fingerprint")
+        dealt = dealt.select("mask", "part", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), *rest)
     return dealt.repartition("mask", "part", "i", "j").sortWithinPartitions("mask", "part", "i", "j").mapInArrow(_verify(distance), "u long, v long")
 
 
-def join_to_unique(rows: DataFrame, unique: DataFrame, key: str, total: int, share: int = 1000) -> DataFrame:
-    """Inner join of rows with a table that has each key once, with the number ``n`` of rows that have it.
-
-    Keys with over total/share of the rows, at most ``share`` of them, are broadcast; so no task gets a hot key's rows.
-    """
-    hot = F.col("n") * share > total
-    values = [c for c in unique.columns if c not in (key, "n")]
-    few = F.broadcast(unique.where(hot).select(key, *values))
-    marks = F.broadcast(unique.where(hot).select(key))
-    rest = rows.join(marks, key, "left_anti").join(unique.where(~hot).select(key, *values), key)
-    return rows.join(few, key).unionByName(rest)
+def near_links(prints: DataFrame, n: int, *, distance: int = DISTANCE, members: int = MEMBERS) -> DataFrame:
+    """Links (u, v) that connect all distinct fingerprints within ``distance`` bits; prints has a column fingerprint without repeats."""
+    signed = [m - (1 << 64) if m >> 63 else m for m in key_masks(n, distance)]
+    keys = F.explode(F.array(*[F.struct(F.lit(i).alias("mask"), F.col("fingerprint").bitwiseAND(F.lit(m).cast("long")).alias("part")) for i, m in enumerate(signed)]))
+    keyed = prints.select("fingerprint", keys.alias("k")).select(F.col("k.mask").alias("mask"), F.col("k.part").alias("part"), F.col("fingerprint").alias("node"))
+    return verified(keyed, distance, members)
 
 
 def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: int = DISTANCE, words: int = WORDS, seed: int = SEED, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -186,3 +185,103 @@ def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: in
     out = join_to_unique(prints, named, "fingerprint", total)
     out = out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
     return own.hold(out)
+
+
+# ---- similarity of word shingles ----
+SHINGLE, SIMILARITY, MISSED = 5, 0.8, 0.01
+CHECK_WORDS = 8  # 64-bit words of the fingerprint that verifies
+
+
+def _apart(similarity: float) -> float:
+    """Share of SimHash bits that differ between two sets of that Jaccard similarity."""
+    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
+
+
+def plan(n: int, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> tuple[int, int, int]:
+    """Bits of a block, number of blocks, and Hamming bound of the verifying fingerprint.
+
+    Blocks are cut from a SimHash of the single words: where shingles of ``shingle`` words are
+    ``similarity`` alike, single words differ at its shingle-th root. A block has a few more
+    bits than there are documents; there are so many blocks that at most MISSED of such pairs
+    share none. The bound has two standard deviations of room.
+    """
+    same_shingles = 2 * similarity / (1 + similarity)
+    agree = 1 - math.acos(same_shingles ** (1 / shingle)) / math.pi
+    bits = min(40, max(20, math.ceil(math.log2(max(n, 2))) + 4))
+    blocks = math.ceil(math.log(MISSED) / math.log(1 - agree**bits))
+    total, share = 64 * CHECK_WORDS, _apart(similarity)
+    return bits, blocks, math.floor(total * share + 0.5 * math.sqrt(total * share * (1 - share)))
+
+
+def _block_values(words: np.ndarray, bits: int, blocks: int) -> np.ndarray:
+    """Blocks of ``bits`` bits cut one after another from rows of 64-bit words."""
+    flat = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")[:, : bits * blocks].reshape(len(words), blocks, bits)
+    return flat.astype(np.int64) @ (np.int64(1) << np.arange(bits, dtype=np.int64))
+
+
+def _once(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes without repeats inside a document."""
+    doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    order = np.lexsort((hashes, doc))
+    h, d = hashes[order], doc[order]
+    new = np.append(True, (h[1:] != h[:-1]) | (d[1:] != d[:-1])) if len(h) else np.zeros(0, bool)
+    return h[new], np.append(0, np.cumsum(np.bincount(d[new], minlength=len(first) - 1)))
+
+
+def wide_prints(docs: DataFrame, bits: int, blocks: int, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, node (a hash of all bits), parts (blocks of the words' SimHash) and bits (SimHash of the shingles)."""
+    ship(docs.sparkSession)
+    n_words = -(-bits * blocks // 64)
+    seeds = [np.uint64(1_000_003 * (k + 1)) for k in range(max(n_words, CHECK_WORDS))]
+
+    def run(batches):
+        for batch in batches:
+            buf, offsets = text_buffer(batch.column(1))
+            ids, null = long_ids(batch.column(0))
+            for a, b in chunks(offsets, 1 << 20):
+                part, own = LOWER[buf[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a]
+                made = []
+                for size, n in ((1, n_words), (shingle, CHECK_WORDS)):
+                    joined, begin, stop, first = shingle_spans(part, own, size)
+                    h, first = _once(xxh64(joined, begin, stop, SEED), first)
+                    made.append(np.stack([fingerprint(mix(h ^ seeds[k]), first) for k in range(n)], 1))
+                whole = np.ascontiguousarray(np.concatenate(made, axis=1))
+                every = np.arange(b - a) * whole.shape[1] * 8
+                node = xxh64(whole.view(np.uint8).ravel(), every, every + whole.shape[1] * 8, SEED).view(np.int64)
+                values = _block_values(np.ascontiguousarray(made[0]), bits, blocks)
+                parts = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * blocks), pa.array(values.ravel()))
+                raw = np.ascontiguousarray(made[1]).tobytes()
+                step = CHECK_WORDS * 8
+                yield pa.RecordBatch.from_arrays([id_array(ids[a:b], null[a:b]), pa.array(node), parts, pa.array([raw[i * step : (i + 1) * step] for i in range(b - a)], pa.binary())], names=["doc_id", "node", "parts", "bits"])
+
+    return docs.select(id_column, text_column).mapInArrow(run, "doc_id long, node long, parts array<long>, bits binary")
+
+
+def similar_groups(docs: DataFrame, *, scope: Scope, similarity: float = SIMILARITY, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id and component_id of every row: documents linked by word shingles at least ``similarity`` alike.
+
+    Candidates share a block of the SimHash of their distinct words; a candidate is a link if
+    the SimHashes of their distinct shingles differ in no more bits than that similarity gives.
+    """
+    bits, blocks, distance = plan(docs.count(), similarity, shingle)
+    prints = scope.write(wide_prints(docs, bits, blocks, shingle=shingle, id_column=id_column, text_column=text_column), "wide-prints")
+    nodes = prints.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.first("parts").alias("parts"), F.first("bits").alias("bits"))
+    nodes = scope.write(nodes, "nodes")
+    total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    keyed = nodes.select(F.posexplode("parts").alias("mask", "part"), "node", "bits").select("mask", "part", "node", "bits")
+    roots = components(scope.write(verified(keyed, distance), "similar-links"), scope)
+    rooted = nodes.select("node", "n", "low").join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "n", "component_id")
+    return join_to_unique(prints.select("doc_id", "node"), named, "node", total).select("doc_id", "component_id")
+
+
+def one_of_each(docs: DataFrame, *, scope: Scope, id_column: str = "doc_id", **options) -> DataFrame:
+    """The rows of docs without those similar to a smaller id.
+
+    A document is its id: rows that repeat an id stay or go together, and rows with a null id stay.
+    """
+    groups = scope.write(similar_groups(docs, scope=scope, id_column=id_column, **options), "groups")
+    gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
+    staying = groups.where(F.col("component_id") == F.col("doc_id")).select("doc_id")
+    gone = gone.join(staying, "doc_id", "left_anti").select(F.col("doc_id").alias("_gone"))
+    return docs.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
