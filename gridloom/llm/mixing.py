@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from .shared import Scope, join_to_unique
 
 DIMENSIONS = ("source", "lang", "topic")
-ALPHA, SWEEPS, SHARE = 0.7, 8, 0.6
+ALPHA, SWEEPS, SHARE = 0.7, 8, 0.8
 BYTES_PER_TOKEN = 4
 VOWELS = "aeiou"
 #: Cells that are raked in one task; above it every step is a shuffle.

@@ -203,14 +203,14 @@ def plan(n: int, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> tupl
     Blocks are cut from a SimHash of the single words: where shingles of ``shingle`` words are
     ``similarity`` alike, single words differ at its shingle-th root. A block has a few more
     bits than there are documents; there are so many blocks that at most MISSED of such pairs
-    share none. The bound has two standard deviations of room.
+    share none. The bound has one standard deviation of room.
     """
     same_shingles = 2 * similarity / (1 + similarity)
     agree = 1 - math.acos(same_shingles ** (1 / shingle)) / math.pi
     bits = min(40, max(20, math.ceil(math.log2(max(n, 2))) + 4))
     blocks = math.ceil(math.log(MISSED) / math.log(1 - agree**bits))
     total, share = 64 * CHECK_WORDS, _apart(similarity)
-    return bits, blocks, math.floor(total * share + 0.5 * math.sqrt(total * share * (1 - share)))
+    return bits, blocks, math.floor(total * share + math.sqrt(total * share * (1 - share)))
 
 
 def _block_values(words: np.ndarray, bits: int, blocks: int) -> np.ndarray:
