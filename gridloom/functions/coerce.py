@@ -32,6 +32,11 @@ LABELS = ("fallen_tree", "diseased_tree")
 TRUE_WORDS, FALSE_WORDS = ("true", "yes", "1", "y"), ("false", "no", "0", "n")
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value computed once however often body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
@@ -61,7 +66,7 @@ def boolean(v: Column) -> Column:
     kind, word = F.schema_of_variant(v), F.lower(strip(F.try_variant_get(v, "$", "string")))
     as_word = F.when(word.isin(*TRUE_WORDS), True).when(word.isin(*FALSE_WORDS), False)
     whole = F.try_variant_get(v, "$", "bigint")
-    return (
+    return (  # one test of the type, then one reading of the value
         F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
         .when(kind == "STRING", as_word)
         .when(kind == "BIGINT", F.when(whole == 1, True).when(whole == 0, False))
@@ -74,12 +79,11 @@ def bbox(v: Column) -> Column:
     The first form that is recognised decides: where its numbers do not convert, the result is null.
     """
     four = F.try_variant_get(v, "$", "array<variant>")
-    at = lambda i: F.try_variant_get(F.get(four, F.lit(i)), "$", "double")
+    at = lambda i: F.try_variant_get(v, f"$[{i}]", "double")
     get = lambda k: F.try_variant_get(v, f"$.{k}", "double")
     has = lambda *ks: sum_and([F.try_variant_get(v, f"$.{k}", "variant").isNotNull() for k in ks])
     made = F.when(F.size(four) == 4, box(at(0), at(1), at(2), at(3))).when(has("x", "y", "width", "height"), box(get("x"), get("y"), get("x") + get("width"), get("y") + get("height"))).when(has("x0", "y0", "x1", "y1"), box(get("x0"), get("y0"), get("x1"), get("y1")))
-    whole = made.x0.isNotNull() & made.y0.isNotNull() & made.x1.isNotNull() & made.y1.isNotNull()
-    return F.when(whole, made)
+    return let(made, lambda m: F.when(m.x0.isNotNull() & m.y0.isNotNull() & m.x1.isNotNull() & m.y1.isNotNull(), m))
 
 
 def sum_and(conditions: list[Column]) -> Column:

@@ -24,10 +24,16 @@ def fenced(text: Column) -> Column:
     return F.when(F.regexp_like(text, F.lit(JSON_FENCE)), F.regexp_extract(text, JSON_FENCE, 1)).when(F.regexp_like(text, F.lit(ANY_FENCE)), F.regexp_extract(text, ANY_FENCE, 1)).otherwise(text)
 
 
+def strict(text: Column) -> Column:
+    """VARIANT of a text that is one JSON value and nothing else, or null (parse_json itself stops after the first value)."""
+    whole = F.try_parse_json(F.concat(F.lit('{"value":['), text, F.lit('],"end":1}')))
+    single = lambda w: (F.try_variant_get(w, "$.end", "int") == 1) & F.try_variant_get(w, "$.value[1]", "variant").isNull()
+    return coerce.let(whole, lambda w: F.when(single(w), F.try_variant_get(w, "$.value[0]", "variant")))
+
+
 def parse(text: Column) -> Column:
     """VARIANT of a reply, or null: strict JSON first, then the fenced part without comments."""
-    lenient = F.try_parse_json(coerce.strip(without_comments(coerce.strip(fenced(text)))))
-    return F.coalesce(F.try_parse_json(text), lenient)
+    return F.coalesce(strict(text), strict(coerce.strip(without_comments(coerce.strip(fenced(text))))))
 
 
 def detection_items(v: Column) -> Column:
@@ -44,7 +50,7 @@ def detections(rows: DataFrame, text: str, *, width: str = "width", height: str
     that is not empty once clipped to the tile. Replies that do not parse give no rows; list
     order is the position's order.
     """
-    items = rows.select("*", F.posexplode(detection_items(parse(F.col(text)))).alias("position", "_item"))
+    items = rows.select("*", F.posexplode(coerce.let(parse(F.col(text)), detection_items)).alias("position", "_item"))
     item = F.col("_item")
     reason = F.coalesce(F.try_variant_get(item, "$.reason", "string"), F.lit(""))
     made = items.select(
@@ -58,22 +64,25 @@ def detections(rows: DataFrame, text: str, *, width: str = "width", height: str
     return made.where(F.col("label").isin(*labels) & (F.col("score") >= min_score) & F.col("bbox").isNotNull() & ~is_empty(F.col("bbox")))
 
 
-def _truthy(v: Column, strict: bool) -> Column:
-    """The value, or null where it is empty, zero or false (kept as it is if strict)."""
-    if strict:
+def _truthy(v: Column, as_is: bool) -> Column:
+    """The value, or null where it is empty, zero or false (kept as it is if as_is)."""
+    if as_is:
         return v
     text, kind = F.try_variant_get(v, "$", "string"), F.schema_of_variant(v)
     falsy = ((kind == "BOOLEAN") & (text == "false")) | ((kind == "STRING") & (text == "")) | (F.coalesce(F.when(~kind.isin("STRING", "BOOLEAN"), F.try_variant_get(v, "$", "double")), F.lit(1.0)) == 0)
     return F.when(~falsy, v)
 
 
-def region_reply(text: Column, strict: bool = False) -> Column:
+def region_reply(text: Column, as_is: bool = False) -> Column:
     """Struct of has_tree, score, tree_coverage and reason of a region reply; has_tree is null if the reply says nothing usable.
 
-    Unless strict, false, 0 and "" count as missing under each name, as the established replies' readers take them.
+    Unless as_is, false, 0 and "" count as missing under each name, as the established replies' readers take them.
     """
-    v = parse(text)
-    first = lambda *names: F.coalesce(*[_truthy(F.try_variant_get(v, f"$.{n}", "variant"), strict) for n in names])
+    return coerce.let(parse(text), lambda v: _region_struct(v, as_is))
+
+
+def _region_struct(v: Column, as_is: bool) -> Column:
+    first = lambda *names: F.coalesce(*[_truthy(F.try_variant_get(v, f"$.{n}", "variant"), as_is) for n in names])
     has_tree = coerce.boolean(first("has_tree", "contains_trees", "tree_present", "tree_region"))
     score = F.coalesce(coerce.score(first("score", "confidence")), F.when(has_tree, 1.0).otherwise(0.0))
     return F.struct(has_tree.alias("has_tree"), score.alias("score"), coerce.score(first("tree_coverage", "coverage", "canopy_coverage")).alias("tree_coverage"), F.coalesce(F.try_variant_get(first("reason", "summary"), "$", "string"), F.lit("")).alias("reason"))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.geometry import iou
-from ..tables import Scope
+from ..tables import Scope, session_scope
 
 
 def _cells(rows: DataFrame, box: str, size: Column) -> DataFrame:
@@ -40,11 +40,11 @@ def suppress(detections: DataFrame, threshold: float = 0.5, *, score: str = "sco
     ties must tell all detections apart. Of equal boxes only the first is compared with
     others: whatever drops it drops them, and if it stays it drops them.
     """
-    own = scope or Scope(detections.sparkSession)
+    own = scope or session_scope(detections.sparkSession)
     key = F.struct((-F.col(score)).alias("s"), *ties)
     keyed = own.write(detections.withColumn("_key", key), "boxes")
     if threshold <= 0:
-        return own.hold(keyed.orderBy("_key").limit(1).drop("_key"))
+        return keyed.orderBy("_key").limit(1).drop("_key")
     b = F.col(box)
     first = keyed.groupBy(b.x0.alias("x0"), b.y0.alias("y0"), b.x1.alias("x1"), b.y1.alias("y1")).agg(F.min("_key").alias("key"))
     first = own.write(first.select("key", F.struct("x0", "y0", "x1", "y1").alias("box")), "distinct-boxes") if threshold <= 1 else own.write(keyed.select(F.col("_key").alias("key"), b.alias("box")), "all-boxes")
@@ -60,7 +60,7 @@ def suppress(detections: DataFrame, threshold: float = 0.5, *, score: str = "sco
     out = keyed.join(first.select(F.col("key").alias("_first")), F.col("_key") == F.col("_first"), "left_semi")
     if dropped is not None:
         out = out.join(dropped, F.col("_key") == F.col("gone"), "left_anti")
-    return own.hold(out.drop("_key"))
+    return out.drop("_key")
 
 
 def ranked(kept: DataFrame, score: str = "score", ties: tuple[str, ...] = ("tile_id", "position")) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
 import uuid
@@ -33,8 +34,8 @@ def _remove_all(spark: SparkSession, paths: list[str]) -> None:
 class Scope:
     """Owner of the tables that a job writes to the shared folder; they go when the result does.
 
-    ``hold(df)`` ties the scope to the DataFrame that a query returns. Operators that get no
-    scope make one of their own and hold it with their result.
+    ``hold(df)`` ties the scope to the DataFrame that a query returns (not to others made from
+    it). Operators that get no scope use the session's, whose tables last until the program ends.
     """
 
     def __init__(self, spark: SparkSession):
@@ -51,3 +52,15 @@ class Scope:
     def hold(self, df: DataFrame) -> DataFrame:
         df._gridloom_scope = self
         return df
+
+
+_session_scopes: dict[str, Scope] = {}
+
+
+def session_scope(spark: SparkSession) -> Scope:
+    """The scope of tables that last until the program ends."""
+    name = spark.sparkContext.applicationId
+    if name not in _session_scopes:
+        _session_scopes[name] = scope = Scope(spark)
+        atexit.register(_remove_all, spark, scope.paths)
+    return _session_scopes[name]
