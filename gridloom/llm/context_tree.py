@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .exchange import CELL_ARROW, CELLS, block_ids, cells
 from .kernels import LOWER, bucket_of, chunks, crc32_mod, distinct, mix, ragged, span_hashes, text_buffer, word_spans
-from .shared import Scope, id_array, long_ids, pack, ship, shuffle_partitions, unpack
+from .shared import Scope, id_array, long_ids, pack, session_scope, ship, shuffle_partitions, unpack
 
 DEPTH = 5
 END = 0xFF  # in no UTF-8 text
@@ -387,10 +387,10 @@ def text_scores(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     probability one half. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    own = scope or Scope(spark)
+    own = scope or session_scope(spark)
     staged = own.write(stage(docs, id_column, text_column, buckets or shuffle_partitions(spark), block_bytes, folds, held_out), "context-cells")
     rows = tops(staged).collect()  # at most 256 * 255 + 1 rows
     tokens, vocabulary = next(((int(r["a"]), int(r["b"])) for r in rows if r["node"] < 0), (0, 0))
     nodes = sorted((r["node"], r["a"], r["b"], r["s"]) for r in rows if r["node"] >= 0)
     node, a, b, s = np.array(nodes).reshape(-1, 4).T
-    return own.hold(scores(staged, answers(staged, Top(node.astype(np.int64), a, b, s)), tokens, vocabulary))
+    return scores(staged, answers(staged, Top(node.astype(np.int64), a, b, s)), tokens, vocabulary)

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Scope, join_to_unique
+from .shared import Scope, join_to_unique, session_scope
 
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA, SWEEPS, SHARE = 0.7, 8, 0.8
@@ -89,7 +89,7 @@ def mixed(docs: DataFrame, *, scope: Scope | None = None, id_column: str = "doc_
     Nulls of a dimension are a class of their own, shown as ``~``. A repeated id has one draw;
     a null text has one token. An empty table gives no rows.
     """
-    own = scope or Scope(docs.sparkSession)
+    own = scope or session_scope(docs.sparkSession)
     text = F.col(text_column)
     named = docs.select(
         F.col(id_column).alias("doc_id"),
@@ -106,7 +106,7 @@ def mixed(docs: DataFrame, *, scope: Scope | None = None, id_column: str = "doc_
     solved = own.write(calibrate(rake(cells, alpha, sweeps, targets), share).select("cell", "n", "factor", "probability"), "probabilities")
     out = join_to_unique(named, solved, "cell", total)
     selected = draw_of(F.col("doc_id")) < F.col("probability")
-    return own.hold(out.select("doc_id", *DIMENSIONS, "tokens", "factor", "probability", selected.alias("selected"), *(["_kept"] if keep else [])))
+    return out.select("doc_id", *DIMENSIONS, "tokens", "factor", "probability", selected.alias("selected"), *(["_kept"] if keep else []))
 
 
 def mixing_sql(alpha: float = ALPHA, sweeps: int = SWEEPS, share: float = SHARE) -> str:

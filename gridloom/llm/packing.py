@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from . import exchange
 from .kernels import ragged
-from .shared import Scope, pack, ship, shuffle_partitions, unpack
+from .shared import Scope, pack, session_scope, ship, shuffle_partitions, unpack
 
 TOKENIZER = "word_bpe_49k.json"
 SIZE = 2048
@@ -136,7 +136,7 @@ def token_pieces(docs: DataFrame, *, scope: Scope, id_column: str = "doc_id", te
     return exchange.settle(staged, exchange.answer(staged, path, _ids), _pieces(size, cut_above, end_id), PIECES, PIECE_ARROW)
 
 
-def place(pieces: DataFrame, *, size: int = SIZE, per_bucket: int = 20_000) -> DataFrame:
+def place(pieces: DataFrame, *, size: int = SIZE, per_bucket: int = 4000) -> DataFrame:
     """Adds sequence_id and offset to pieces (a written table, read several times).
 
     Ranks among pieces of one length are counted in buckets of about per_bucket pieces, so a
@@ -174,6 +174,6 @@ def packed(docs: DataFrame, *, scope: Scope | None = None, size: int = SIZE, **o
     A null or empty text is a document of one id, the end id. Repeated rows are packed as rows
     of their own; a null id stays null. An empty table gives no rows.
     """
-    own = scope or Scope(docs.sparkSession)
+    own = scope or session_scope(docs.sparkSession)
     pieces = own.write(token_pieces(docs, scope=own, size=size, **options), "pieces")
-    return own.hold(place(pieces, size=size))
+    return place(pieces, size=size)

@@ -15,11 +15,13 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.packed(table(spark, sf_dir, "documents"))
+    scope = Scope(spark)
+    return scope.hold(packing.packed(table(spark, sf_dir, "documents"), scope=scope))
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return context_tree.text_scores(table(spark, sf_dir, "documents"))
+    scope = Scope(spark)
+    return scope.hold(context_tree.text_scores(table(spark, sf_dir, "documents"), scope=scope))
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +31,8 @@ def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    scope = Scope(spark)
+    return scope.hold(simhash.near_duplicates(table(spark, sf_dir, "documents"), scope=scope))
 
 
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -4,15 +4,14 @@ from __future__ import annotations
 
 import os
 import struct
-import tempfile
-import uuid
-import weakref
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..tables import Scope, session_scope, shared_dir
+
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 ZSTD = pa.Codec("zstd", compression_level=1)
 
@@ -21,56 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local one only where the session names none (tests)."""
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if not named:
-        named = "file://" + os.environ.setdefault("GRIDLOOM_SHARED", tempfile.mkdtemp(prefix="gridloom-"))
-    return named.rstrip("/")
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    if jvm is not None:
-        at = jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
-
-
-def _remove_all(spark: SparkSession, paths: list[str]) -> None:
-    for path in paths:
-        try:
-            remove(spark, path)
-        except Exception:  # the session has ended, and its folder is the cluster's to clear
-            return
-
-
-class Scope:
-    """Owner of the tables that a job writes to the shared folder; they go when the result does.
-
-    ``hold(df)`` ties the scope to the DataFrame that a query returns. Operators that get no
-    scope make one of their own and hold it with their result.
-    """
-
-    def __init__(self, spark: SparkSession):
-        self.spark, self.paths = spark, []
-        weakref.finalize(self, _remove_all, spark, self.paths)
-
-    def write(self, df: DataFrame, name: str) -> DataFrame:
-        """Write df to the shared folder and read it back: lineage ends, and lost executors cost no more than a reread."""
-        path = f"{shared_dir(self.spark)}/gridloom/{uuid.uuid4().hex}-{name}"
-        self.paths.append(path)
-        df.write.parquet(path)
-        return self.spark.read.schema(df.schema).parquet(path)
-
-    def drop(self) -> None:
-        _remove_all(self.spark, self.paths)
-        self.paths.clear()
-
-    def hold(self, df: DataFrame) -> DataFrame:
-        df._gridloom_scope = self
-        return df
-
-
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .kernels import LOWER, chunks, mix, ragged, text_buffer, word_spans, xxh64
-from .shared import Scope, id_array, join_to_unique, long_ids, ship
+from .shared import Scope, id_array, join_to_unique, long_ids, session_scope, ship
 
 WORDS, SEED, DISTANCE = 4, 42, 4
 #: Members of a key that one step verifies.
@@ -173,7 +173,7 @@ def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: in
     are rows of their own; a null id takes part, and a component of null ids only has a null
     component_id. An empty table gives no rows.
     """
-    own = scope or Scope(docs.sparkSession)
+    own = scope or session_scope(docs.sparkSession)
     prints = own.write(fingerprints(docs, id_column=id_column, text_column=text_column, words=words, seed=seed), "fingerprints")
     unique = own.write(prints.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("doc_id").alias("low")), "distinct-fingerprints")
     n, total = unique.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -184,7 +184,7 @@ def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: in
     named = rooted.join(lowest, "root").select("fingerprint", "n", "component_id")
     out = join_to_unique(prints, named, "fingerprint", total)
     out = out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
-    return own.hold(out)
+    return out
 
 
 # ---- similarity of word shingles ----

@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .exchange import CELL_ARROW, CELLS, KERNEL_BYTES, block_ids, cells
 from .kernels import INVERSE, PRIME, bucket_of, chunks, distinct, mix, span_hashes, text_buffer, word_spans
-from .shared import Scope, id_array, long_ids, pack, ship, shuffle_partitions, unpack
+from .shared import Scope, id_array, long_ids, pack, session_scope, ship, shuffle_partitions, unpack
 
 WINDOW, ANCHOR = 13, 5
 U64 = np.uint64
@@ -256,7 +256,7 @@ def without_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column:
     """
     spark = docs.sparkSession
     ship(spark)
-    own = scope or Scope(spark)
+    own = scope or session_scope(spark)
     buckets = buckets or shuffle_partitions(spark)
     source = docs.select(F.col(id_column).cast("long").alias(id_column), text_column, *carry)
     fields = [T.StructField(id_column, T.LongType()), *[docs.schema[c] for c in carry], T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("removed_spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("after", T.LongType())])))]
@@ -276,4 +276,4 @@ def without_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column:
         return pa.concat_tables(made) if made else arrow.empty_table()
 
     affected = second.where("bucket = -1").groupBy("block").cogroup(_bits(second, _smaller).groupBy("block")).applyInArrow(parsed, rows)
-    return own.hold(second.where("bucket = -2").mapInArrow(plain, rows).unionByName(affected))
+    return second.where("bucket = -2").mapInArrow(plain, rows).unionByName(affected)

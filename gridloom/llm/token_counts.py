@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange
-from .shared import Scope, id_array, pack, shuffle_partitions, unpack
+from .shared import Scope, id_array, pack, session_scope, shuffle_partitions, unpack
 
 TOKENIZER = "byte_bpe_50k.json"
 LIMIT = 512
@@ -51,11 +51,11 @@ def token_counts(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     bounded by block_bytes (or one text) and by a bucket's cells; raise ``buckets`` (default:
     the session's shuffle partitions) with the corpus.
     """
-    own = scope or Scope(docs.sparkSession)
+    own = scope or session_scope(docs.sparkSession)
     path = path or public_tokenizers.path(TOKENIZER)
     staged = own.write(exchange.stage(docs, id_column, text_column, path, buckets or shuffle_partitions(docs.sparkSession), block_bytes, _frequencies), "token-cells")
     out = exchange.settle(staged, exchange.answer(staged, path, _count), _sum, ROWS, ARROW)
-    return own.hold(out)
+    return out
 
 
 def with_limit(counts: DataFrame, limit: int = LIMIT) -> DataFrame:
