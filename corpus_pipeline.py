@@ -57,7 +57,8 @@ def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in training sequences."""
-    return packing.packed(docs)
+    scope = Scope(spark)
+    return scope.hold(packing.packed(docs, scope=scope))
 
 
 STAGES = [
