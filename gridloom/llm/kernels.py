@@ -7,6 +7,8 @@ hold a bounded number of copies of the buffer. Callers cut their input into buff
 
 from __future__ import annotations
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -22,8 +24,26 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
+_lean = False
+
+
+def lean() -> None:
+    """Make this worker return freed memory at once: large arrays get mappings of their own, Arrow uses malloc."""
+    global _lean
+    if not _lean:
+        _lean = True
+        pa.set_memory_pool(pa.system_memory_pool())
+        try:
+            libc = ctypes.CDLL(None)
+            libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+            libc.mallopt(-1, 4 << 20)  # M_TRIM_THRESHOLD
+        except (OSError, AttributeError):
+            return  # another C library: memory is bounded all the same
+
+
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a string or binary column; a null is an empty text."""
+    lean()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks() if column.num_chunks != 1 else column.chunk(0)
     column = column.cast(pa.large_binary())

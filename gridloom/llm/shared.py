@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..tables import Scope, session_scope, shared_dir
+from .kernels import lean
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 ZSTD = pa.Codec("zstd", compression_level=1)
@@ -26,7 +27,7 @@ ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this package from where it lies, and bound a batch's bytes where the session does not."""
     if spark.conf.get(ARROW_BYTES, None) is None:
-        spark.conf.set(ARROW_BYTES, str(16 << 20))
+        spark.conf.set(ARROW_BYTES, str(8 << 20))
     env = spark.sparkContext.environment
     parts = env.get("PYTHONPATH", "").split(":")
     if ROOT not in parts:
@@ -48,6 +49,7 @@ def pack(*arrays: np.ndarray, squeeze: bool = False) -> bytes:
 
 
 def unpack(data, squeezed: bool = False) -> list[np.ndarray]:
+    lean()
     if squeezed:
         size = struct.unpack_from("<Q", data)[0]
         data = ZSTD.decompress(memoryview(data)[8:], size, asbytes=True)

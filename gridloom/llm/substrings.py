@@ -26,7 +26,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from .exchange import CELL_ARROW, CELLS, KERNEL_BYTES, block_ids, cells
-from .kernels import INVERSE, PRIME, bucket_of, chunks, distinct, mix, span_hashes, text_buffer, word_spans
+from .kernels import bucket_of, chunks, distinct, mix, powers, span_hashes, text_buffer, word_spans
 from .shared import Scope, id_array, long_ids, pack, session_scope, ship, shuffle_partitions, unpack
 
 WINDOW, ANCHOR = 13, 5
@@ -39,7 +39,7 @@ def rolling(words: np.ndarray, size: int) -> np.ndarray:
     n = len(words)
     if n < size:
         return np.zeros(0, U64)
-    up, down = (np.cumprod(np.concatenate([[U64(1)], np.full(n, U64(x))])) for x in (PRIME, INVERSE))
+    up, down = powers(n + 1)
     total = np.concatenate([[U64(0)], np.cumsum(words * up[:-1])])
     return mix((total[size:] - total[:-size]) * down[: n - size + 1] + U64(size))
 
@@ -215,8 +215,7 @@ def _emit(payload, known, schema: pa.Schema, window: int, texts: bool) -> pa.Tab
     """Rows of documents; known(place, index) says which of their shared phrases go."""
     ids, lost, offsets, buf, carried, *rest = unpack(payload, squeezed=True)
     batch = pa.ipc.open_stream(pa.py_buffer(carried)).read_all()
-    _, begin, stop, first = word_hashes(buf, offsets)
-    n = np.diff(first)
+    n = np.diff(word_spans(buf, offsets)[2])
     spans: dict[int, np.ndarray] = {}
     if rest:
         place, start, index, inside = rest
@@ -227,7 +226,7 @@ def _emit(payload, known, schema: pa.Schema, window: int, texts: bool) -> pa.Tab
             spans[int(place[a])] = factors(start[a:b], window)
     raw, text, digest, removed, ranges = buf.tobytes(), [], [], [], []
     for d in range(len(ids)):
-        f, whole = int(first[d]), raw[offsets[d] : offsets[d + 1]]
+        whole = raw[offsets[d] : offsets[d + 1]]
         cut = spans.get(d)
         words = whole.split()
         if cut is not None:
@@ -244,7 +243,7 @@ def _emit(payload, known, schema: pa.Schema, window: int, texts: bool) -> pa.Tab
     return pa.Table.from_arrays([*batch.columns, pa.array(text, schema.field("text").type), pa.array(n), pa.array(removed, pa.int64()), pa.array(digest), pa.array(ranges, schema.field("removed_spans").type)], schema=schema)
 
 
-def without_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", carry: tuple[str, ...] = (), window: int = WINDOW, anchor: int = ANCHOR, buckets: int | None = None, block_bytes: int = 8 << 20, texts: bool = True, scope: Scope | None = None) -> DataFrame:
+def without_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", carry: tuple[str, ...] = (), window: int = WINDOW, anchor: int = ANCHOR, buckets: int | None = None, block_bytes: int = 4 << 20, texts: bool = True, scope: Scope | None = None) -> DataFrame:
     """The id, the carried columns, text, n_words, n_removed, kept_sha256 and removed_spans of every row.
 
     Every word goes that lies in ``window`` consecutive words which also start in a document
