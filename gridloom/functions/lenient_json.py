@@ -50,18 +50,21 @@ def detections(rows: DataFrame, text: str, *, width: str = "width", height: str
     that is not empty once clipped to the tile. Replies that do not parse give no rows; list
     order is the position's order.
     """
-    items = rows.select("*", F.posexplode(coerce.let(parse(F.col(text)), detection_items)).alias("position", "_item"))
-    item = F.col("_item")
-    reason = F.coalesce(F.try_variant_get(item, "$.reason", "string"), F.lit(""))
-    made = items.select(
-        *rows.columns,
-        "position",
-        coerce.label(F.try_variant_get(item, "$.label", "string")).alias("label"),
-        coerce.score(F.try_variant_get(item, "$.score", "variant")).alias("score"),
-        reason.alias("reason"),
-        clip_box(coerce.bbox(F.try_variant_get(item, "$.bbox", "variant")), F.col(width), F.col(height)).alias("bbox"),
-    )
-    return made.where(F.col("label").isin(*labels) & (F.col("score") >= min_score) & F.col("bbox").isNotNull() & ~is_empty(F.col("bbox")))
+    def one(item: Column, position: Column) -> Column:
+        return F.struct(
+            position.alias("position"),
+            coerce.label(F.try_variant_get(item, "$.label", "string")).alias("label"),
+            F.try_variant_get(item, "$.score", "double").alias("score"),
+            F.coalesce(F.try_variant_get(item, "$.reason", "string"), F.lit("")).alias("reason"),
+            coerce.let(coerce.bbox(F.try_variant_get(item, "$.bbox", "variant")), lambda b: clip_box(b, F.col(width), F.col(height))).alias("bbox"),
+        )
+
+    def passes(d: Column) -> Column:
+        return d.label.isin(*labels) & (d.score >= min_score) & d.bbox.isNotNull() & ~is_empty(d.bbox)
+
+    # inside higher-order functions each item is read once; a filter on columns would be pushed below and repeat the reading
+    items = coerce.let(parse(F.col(text)), detection_items)
+    return rows.select("*", F.inline(F.filter(F.transform(items, one), passes)))
 
 
 def _truthy(v: Column, as_is: bool) -> Column:

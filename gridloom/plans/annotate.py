@@ -163,7 +163,7 @@ class Run:
             replies = self.scope.write(model.replies(prompts, self.runner, key="tile_id", concurrency=c.model_concurrency), "tile-replies")
             error = replies.where("error is not null").orderBy("tile_id").first()
             answered = asked.join(replies.where("error is null").select("tile_id", "reply"), "tile_id")
-            found = lenient_json.detections(answered, "reply", min_score=c.min_detection_score, labels=c.labels)
+            found = lenient_json.detections(answered.select("tile_id", "row_off", "col_off", "width", "height", "reply"), "reply", min_score=c.min_detection_score, labels=c.labels)
             placed = geometry.project(F.col("bbox"), F.col("row_off"), F.col("col_off"), self.raster.transform, self.raster.crs)
             one = F.struct("label", "score", "reason", F.col("bbox").alias("tile_px_bbox"), *[v.alias(k) for k, v in placed.items()])
             found = found.select("tile_id", "position", one.alias("d")).groupBy("tile_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("position", "d"))), lambda x: x.d).alias("detections"))
@@ -189,9 +189,10 @@ class Run:
         if not self.config.samples_per_stage:
             return
         saved = self.log("samples", schemas.SAMPLE)
-        order = F.row_number().over(Window.partitionBy("stage").orderBy(key))
         head = rows.orderBy(key).limit(self.config.samples_per_stage * 2 + saved.count())
-        arrivals = head.select(F.lit(stage).alias("stage"), F.col(key).alias("item_id"), "width", "height", "image").withColumn("seq", order) if "width" in rows.columns else head.select(F.lit(stage).alias("stage"), F.col(key).alias("item_id"), F.lit(0).alias("width"), F.lit(0).alias("height"), "image").withColumn("seq", order)
+        size = ("width", "height") if "width" in rows.columns else (F.lit(0).alias("width"), F.lit(0).alias("height"))
+        arrivals = head.select(F.lit(stage).alias("stage"), F.col(key).alias("item_id"), *size, "image")
+        arrivals = arrivals.withColumn("seq", F.row_number().over(Window.partitionBy("stage").orderBy("item_id")))
         chosen = state.first_samples(arrivals, saved, self.config.samples_per_stage)
         name = F.format_string("%03d_%s_%dx%d.ppm", F.col("sample_index").cast("int"), "item_id", "width", "height")
         chosen = self.scope.write(chosen.withColumn("path", F.concat(F.lit(f"{self.out}/samples/{stage}/"), name)), "samples")
