@@ -105,31 +105,21 @@ def stage(docs: DataFrame, id_column: str, text_column: str, buckets: int, block
     def block(block_id, parts):
         doc_ids, null = np.concatenate([p[2] for p in parts]), np.concatenate([p[3] for p in parts])
         train = (crc32_mod(doc_ids, folds) != held_out) & ~null
-        grams, words, texts, sizes, done = [], [], [], [], 0
+        texts, sizes = [], []
         for buf, lengths, _, _ in parts:
             offsets = np.append(0, np.cumsum(lengths))
             for a, b in chunks(offsets, CHUNK):
-                own = train[done + a : done + b]
-                joined, bounds, begin, stop, first = joined_words(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                codes, at = symbols(joined, bounds)
-                keys = np.sort((codes << U64(1)) | np.repeat(own, np.diff(at)).astype(U64))
-                grams.append(_flagged(keys))
-                h = span_hashes(joined, begin, stop)
-                u, _, index = distinct(h)
-                words.append((u, np.bincount(index, weights=np.repeat(own, np.diff(first)), minlength=len(u)).astype(np.int64)))
+                joined, bounds, _, _, _ = joined_words(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 texts.append(joined)
                 sizes.append(np.diff(bounds))
-            done += len(lengths)
-        codes, n = counted(np.concatenate([g[0] for g in grams]), np.concatenate([g[1] for g in grams]))
-        words.append((np.array([END_WORD]), np.array([int(train.sum())])))
-        names, c = counted(np.concatenate([w[0] for w in words]), np.concatenate([w[1] for w in words]))
-        shard, word_bucket = shard_of(codes, buckets), bucket_of(names, buckets).astype(np.int64)
-        order = np.argsort(shard, kind="stable")
-        edge, word_edge = np.searchsorted(shard[order], np.arange(buckets + 1)), np.searchsorted(word_bucket, np.arange(buckets + 1))
-        payloads, used = [pack(doc_ids, null, train, np.concatenate(sizes), np.concatenate(texts), squeeze=True)], [-1]
+        parts.clear()
+        sizes, text = np.concatenate(sizes), np.concatenate(texts)
+        del texts
+        codes, n, edge, names, c, word_edge = contents(sizes, text, train, buckets)
+        payloads, used = [pack(doc_ids, null, train, sizes, text, squeeze=True)], [-1]
         for k in range(buckets):
-            own, w = order[edge[k] : edge[k + 1]], slice(word_edge[k], word_edge[k + 1])
-            if len(own) or w.stop > w.start:
+            own, w = slice(edge[k], edge[k + 1]), slice(word_edge[k], word_edge[k + 1])
+            if own.stop > own.start or w.stop > w.start:
                 payloads.append(pack(squeeze_keys(codes[own]), n[own].astype(np.uint32), squeeze_keys(names[w]), c[w].astype(np.uint32), squeeze=True))
                 used.append(k)
         return cells(block_id, used, payloads)
@@ -137,6 +127,24 @@ def stage(docs: DataFrame, id_column: str, text_column: str, buckets: int, block
     return docs.select(id_column, text_column).mapInArrow(run, CELLS)
 
 
+def contents(sizes: np.ndarray, text: np.ndarray, train: np.ndarray, buckets: int):
+    """A block's distinct codes and words by bucket, how often training texts have them, and the buckets' edges."""
+    grams, words, bounds = [], [], np.append(0, np.cumsum(sizes))
+    for a, b in chunks(bounds, CHUNK):
+        joined, own = text[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
+        codes, at = symbols(joined, own)
+        grams.append(_flagged(np.sort((codes << U64(1)) | np.repeat(train[a:b], np.diff(at)).astype(U64))))
+        starts, ends, first = word_spans(joined, own)
+        u, _, index = distinct(span_hashes(joined, starts, ends))
+        words.append((u, np.bincount(index, weights=np.repeat(train[a:b], np.diff(first)), minlength=len(u)).astype(np.int64)))
+    words.append((np.array([END_WORD]), np.array([int(train.sum())])))
+    codes, n = counted(np.concatenate([g[0] for g in grams]), np.concatenate([g[1] for g in grams]))
+    names, c = counted(np.concatenate([w[0] for w in words]), np.concatenate([w[1] for w in words]))
+    shard = shard_of(codes, buckets)
+    order = np.argsort(shard, kind="stable")
+    return codes[order], n[order], np.searchsorted(shard[order], np.arange(buckets + 1)), names, c, np.searchsorted(bucket_of(names, buckets).astype(np.int64), np.arange(buckets + 1))
+
+
 def _flagged(keys):
     """Distinct codes of sorted (code, flag) keys, and how many have the flag."""
     if not len(keys):
@@ -304,7 +312,7 @@ def answers(staged: DataFrame, top: Top) -> DataFrame:
         c, word = _words(parts)
         out, a, b = [], 0, 0
         for p in parts:
-            out.append(pack(log[index[a : a + len(p[0])]], c[word[b : b + len(p[2])]].astype(np.uint32), p[0], p[2], squeeze=True))
+            out.append(pack(log[index[a : a + len(p[0])]], c[word[b : b + len(p[2])]].astype(np.uint32), squeeze=True))
             a += len(p[0])
             b += len(p[2])
         return pa.Table.from_arrays([table.column("block"), table.column("bucket"), pa.array(out, pa.binary())], schema=CELL_ARROW)
@@ -345,23 +353,24 @@ class Lookup:
         return out
 
 
-def scores(staged: DataFrame, answered: DataFrame, tokens: int, vocabulary: int) -> DataFrame:
+def scores(staged: DataFrame, answered: DataFrame, tokens: int, vocabulary: int, buckets: int) -> DataFrame:
     floor = math.log10(tokens + vocabulary + 1)
     kinds = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
-        parts = [unpack(x, squeezed=True) for x in found.column("payload").to_pylist()]
-        empty = np.zeros(0, U64)
-        codes = np.concatenate([np.cumsum(p[2]) for p in parts] or [empty])
-        log = np.concatenate([p[0] for p in parts] or [empty])
-        names = np.concatenate([np.cumsum(p[3]) for p in parts] or [empty])
-        c = np.concatenate([p[1] for p in parts] or [empty]).astype(np.int64)
+        order = np.argsort(found.column("bucket").to_numpy())
+        payloads = found.column("payload").to_pylist()
+        parts = [unpack(payloads[i], squeezed=True) for i in order.tolist()]
+        log = np.concatenate([p[0] for p in parts] or [np.zeros(0, np.float32)])
+        c = np.concatenate([p[1] for p in parts] or [np.zeros(0, np.uint32)]).astype(np.int64)
         del parts
-        code_at, name_at, gain = Lookup(codes), Lookup(names), np.log10(c + 1)
-        end = int(name_at.find(np.array([END_WORD]))[0])
+        gain = np.log10(c + 1)
         out = []
         for payload in docs.column("payload").to_pylist():
             doc_ids, null, train, sizes, text = unpack(payload, squeezed=True)
+            codes, _, _, names, _, _ = contents(sizes, text, train, buckets)
+            code_at, name_at = Lookup(codes), Lookup(names)
+            end = int(name_at.find(np.array([END_WORD]))[0])
             bounds = np.append(0, np.cumsum(sizes))
             for a, b in chunks(bounds, CHUNK):
                 joined, own = text[bounds[a] : bounds[b]], bounds[a : b + 1] - bounds[a]
@@ -388,9 +397,10 @@ def text_scores(docs: DataFrame, *, id_column: str = "doc_id", text_column: str
     """
     spark = docs.sparkSession
     own = scope or session_scope(spark)
-    staged = own.write(stage(docs, id_column, text_column, buckets or shuffle_partitions(spark), block_bytes, folds, held_out), "context-cells")
+    buckets = buckets or shuffle_partitions(spark)
+    staged = own.write(stage(docs, id_column, text_column, buckets, block_bytes, folds, held_out), "context-cells")
     rows = tops(staged).collect()  # at most 256 * 255 + 1 rows
     tokens, vocabulary = next(((int(r["a"]), int(r["b"])) for r in rows if r["node"] < 0), (0, 0))
     nodes = sorted((r["node"], r["a"], r["b"], r["s"]) for r in rows if r["node"] >= 0)
     node, a, b, s = np.array(nodes).reshape(-1, 4).T
-    return scores(staged, answers(staged, Top(node.astype(np.int64), a, b, s)), tokens, vocabulary)
+    return scores(staged, answers(staged, Top(node.astype(np.int64), a, b, s)), tokens, vocabulary, buckets)

@@ -17,20 +17,19 @@ from .shared import Scope, join_to_unique, session_scope
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA, SWEEPS, SHARE = 0.7, 8, 0.8
 BYTES_PER_TOKEN = 4
-VOWELS = "aeiou"
+#: Characters from which a text is of medium length, and long.
+SHORT, LONG = 1000, 5000
 #: Cells that are raked in one task; above it every step is a shuffle.
 ONE_TASK = 1_000_000
+#: Cells whose probabilities are broadcast (some 100 bytes each); above it they are joined by a shuffle that splits hot cells.
+BROADCAST = 20_000
 
 
 def topic_of(text: Column) -> Column:
-    """A lexical class of the whole text: its most frequent vowel, the first of several; ``-`` without any."""
-    lower = F.lower(F.coalesce(text, F.lit("")))
-    counts = [F.length(lower) - F.length(F.replace(lower, F.lit(v), F.lit(""))) for v in VOWELS]
-    most = F.greatest(*counts)
-    out = F.lit("-")
-    for vowel, count in reversed(list(zip(VOWELS, counts, strict=True))):
-        out = F.when(count == most, F.lit(vowel)).otherwise(out)
-    return F.when(most == 0, F.lit("-")).otherwise(out)
+    """A form class of the whole text, for tables without a topic: plain or accented script, and short, medium or long."""
+    chars, size = F.length(F.coalesce(text, F.lit(""))), F.octet_length(F.coalesce(text, F.lit("")))
+    script = F.when(size == chars, "plain").otherwise("accented")
+    return F.concat(script, F.when(chars < SHORT, "-short").when(chars < LONG, "-medium").otherwise("-long"))
 
 
 def token_weight(text: Column) -> Column:
@@ -87,7 +86,8 @@ def mixed(docs: DataFrame, *, scope: Scope | None = None, id_column: str = "doc_
     """doc_id, source, lang, topic, tokens, factor, probability, selected and the kept columns (as given) of every row.
 
     Nulls of a dimension are a class of their own, shown as ``~``. A repeated id has one draw;
-    a null text has one token. An empty table gives no rows.
+    a null text has one token. ``topic`` is the topic's column; by default it is topic_of the
+    text. An empty table gives no rows.
     """
     own = scope or session_scope(docs.sparkSession)
     text = F.col(text_column)
@@ -104,20 +104,21 @@ def mixed(docs: DataFrame, *, scope: Scope | None = None, id_column: str = "doc_
     if n_cells <= ONE_TASK:
         cells = cells.coalesce(1)
     solved = own.write(calibrate(rake(cells, alpha, sweeps, targets), share).select("cell", "n", "factor", "probability"), "probabilities")
-    out = join_to_unique(named, solved, "cell", total)
+    if n_cells <= BROADCAST:
+        out = named.join(F.broadcast(solved.drop("n")), "cell")
+    else:
+        out = join_to_unique(named, solved, "cell", total)
     selected = draw_of(F.col("doc_id")) < F.col("probability")
     return out.select("doc_id", *DIMENSIONS, "tokens", "factor", "probability", selected.alias("selected"), *(["_kept"] if keep else []))
 
 
 def mixing_sql(alpha: float = ALPHA, sweeps: int = SWEEPS, share: float = SHARE) -> str:
     """The same rows of the documents table, for DuckDB."""
-    counts = [f"length(l) - length(replace(l, '{v}', ''))" for v in VOWELS]
-    most = f"greatest({', '.join(counts)})"
-    topic = f"CASE WHEN {most} = 0 THEN '-' " + " ".join(f"WHEN {c} = {most} THEN '{v}'" for v, c in zip(VOWELS, counts, strict=True)) + " END"
+    topic = f"(CASE WHEN strlen(t) = length(t) THEN 'plain' ELSE 'accented' END || CASE WHEN length(t) < {SHORT} THEN '-short' WHEN length(t) < {LONG} THEN '-medium' ELSE '-long' END)"
     steps = [f"""named AS MATERIALIZED (
         SELECT doc_id, coalesce(source, '~') AS source, coalesce(lang, '~') AS lang, {topic} AS topic,
                CAST((strlen(t) + {BYTES_PER_TOKEN - 1}) // {BYTES_PER_TOKEN} + 1 AS BIGINT) AS tokens
-        FROM (SELECT *, coalesce(text, '') AS t, lower(coalesce(text, '')) AS l FROM documents)
+        FROM (SELECT *, coalesce(text, '') AS t FROM documents)
     )""", """cells AS MATERIALIZED (SELECT source, lang, topic, sum(tokens)::DOUBLE AS tokens FROM named GROUP BY ALL)""",
         "marked AS MATERIALIZED (SELECT *, sum(tokens) OVER () AS everything, " + ", ".join(f"sum(tokens) OVER (PARTITION BY {d}) AS own_{d}" for d in DIMENSIONS) + " FROM cells)",
         "powered AS MATERIALIZED (SELECT *, " + ", ".join(f"pow(own_{d} / everything, {alpha}) AS p_{d}" for d in DIMENSIONS) + " FROM marked)",
