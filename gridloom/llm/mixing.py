@@ -76,10 +76,12 @@ def calibrate(raked: DataFrame, share: float = SHARE) -> DataFrame:
     sure = F.coalesce(F.sum("tokens").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     rest = F.sum(F.col("factor") * F.col("tokens")).over(order.rowsBetween(Window.currentRow, Window.unboundedFollowing))
     wanted = F.sum("tokens").over(Window.partitionBy()) * F.lit(float(share))
-    out = out.withColumn("place", F.row_number().over(order)).withColumn("k", (wanted - sure) / rest)
+    out = out.withColumn("place", F.row_number().over(order)).withColumn("k", F.try_divide(wanted - sure, rest))
     fits = F.when(F.col("k") * F.col("factor") <= 1 + 1e-9, F.col("place"))
     out = out.withColumn("k", F.min_by("k", fits).over(Window.partitionBy()))
-    return out.withColumn("probability", F.least(F.lit(1.0), F.col("k") * F.col("factor"))).drop("place", "k")
+    # without such a k, even all documents of the cells that have weight are fewer tokens than wanted
+    every = F.when(F.col("factor") > 0, 1.0).otherwise(0.0)
+    return out.withColumn("probability", F.coalesce(F.when(F.col("k").isNotNull(), F.least(F.lit(1.0), F.col("k") * F.col("factor"))), every)).drop("place", "k")
 
 
 def mixed(docs: DataFrame, *, scope: Scope | None = None, id_column: str = "doc_id", text_column: str = "text", topic: Column | None = None, alpha: float = ALPHA, sweeps: int = SWEEPS, share: float = SHARE, targets: dict[str, dict[str, float]] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:

@@ -221,8 +221,8 @@ def _emit(payload, known, schema: pa.Schema, window: int, texts: bool) -> pa.Tab
         place, start, index, inside = rest
         gone = inside.astype(bool) | known[index]
         place, start = place[gone], start[gone].astype(np.int64)
-        edge = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else []
-        for a, b in zip(edge, [*edge[1:], len(place)], strict=True):
+        edge = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else np.zeros(0, np.int64)
+        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(place)][: len(edge)], strict=True):
             spans[int(place[a])] = factors(start[a:b], window)
     raw, text, digest, removed, ranges = buf.tobytes(), [], [], [], []
     for d in range(len(ids)):
