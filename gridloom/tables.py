@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import os
 import tempfile
 import uuid
@@ -31,6 +32,12 @@ def _remove_all(spark: SparkSession, paths: list[str]) -> None:
             return
 
 
+def free(spark: SparkSession) -> None:
+    """Shuffle files go when the driver's JVM finds their plans unused; look now."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 class Scope:
     """Owner of the tables that a job writes to the shared folder; they go when the result does.
 
@@ -49,6 +56,12 @@ class Scope:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def drop(self) -> None:
+        """Remove the scope's tables now, and let Spark remove the shuffles of what made them."""
+        _remove_all(self.spark, self.paths)
+        self.paths.clear()
+        free(self.spark)
+
     def hold(self, df: DataFrame) -> DataFrame:
         df._gridloom_scope = self
         return df
