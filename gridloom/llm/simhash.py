@@ -190,6 +190,8 @@ def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: in
 # ---- similarity of word shingles ----
 SHINGLE, SIMILARITY, MISSED = 5, 0.8, 0.01
 CHECK_WORDS = 8  # 64-bit words of the fingerprint that verifies
+#: Ids (8 bytes each) that are broadcast rather than joined by a shuffle of the texts.
+FEW = 2_000_000
 
 
 def _apart(similarity: float) -> float:
@@ -280,8 +282,12 @@ def one_of_each(docs: DataFrame, *, scope: Scope, id_column: str = "doc_id", **o
 
     A document is its id: rows that repeat an id stay or go together, and rows with a null id stay.
     """
-    groups = scope.write(similar_groups(docs, scope=scope, id_column=id_column, **options), "groups")
+    inner = Scope(docs.sparkSession)
+    groups = scope.write(similar_groups(docs, scope=inner, id_column=id_column, **options), "groups")
+    inner.drop()
     gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
     staying = groups.where(F.col("component_id") == F.col("doc_id")).select("doc_id")
-    gone = gone.join(staying, "doc_id", "left_anti").select(F.col("doc_id").alias("_gone"))
+    gone = scope.write(gone.join(staying, "doc_id", "left_anti").select(F.col("doc_id").alias("_gone")), "gone")
+    if gone.count() <= FEW:
+        gone = F.broadcast(gone)
     return docs.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")

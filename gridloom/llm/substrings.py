@@ -261,8 +261,11 @@ def without_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column:
     fields = [T.StructField(id_column, T.LongType()), *[docs.schema[c] for c in carry], T.StructField("text", T.StringType()), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType()), T.StructField("removed_spans", T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("after", T.LongType())])))]
     rows = T.StructType(fields)
     arrow = to_arrow_schema(rows)
-    first = own.write(_stage(source, window, anchor, buckets, block_bytes), "minimizers")
+    round_one = Scope(spark)
+    first = round_one.write(_stage(source, window, anchor, buckets, block_bytes), "minimizers")
     second = own.write(_look_up(first, _bits(first, _shared), window, anchor, buckets), "phrases")
+    del first
+    round_one.drop()
 
     def plain(batches):
         for batch in batches:
