@@ -20,6 +20,8 @@ from .shared import crc_mod, id_array, long_ids, ship
 FOLDS, HELD_OUT = 4, 2
 BUCKETS, WIDTH, GRAMS = 1 << 15, 16, (1, 2, 3, 4)
 PER_LANGUAGE, EPOCHS, BATCH, RATE = 500, 8, 32, 0.5
+#: Labels up to which their counts, and the ids drawn for them, are broadcast.
+MANY_LABELS = 2000
 #: Share of accepted rows that may be wrong where the rejection threshold is fitted.
 WRONG = 0.01
 ROWS = "doc_id long, held_out boolean, lang_pred string, score double, accepted boolean"
@@ -115,10 +117,14 @@ def train(names: list[str], labels: np.ndarray, grams: list[np.ndarray], weights
 
 def _sample(docs: DataFrame, id_column: str, text_column: str, label_column: str, per_label: int, train_rows) -> list:
     """About per_label rows of each label, as subword shares of the whole text."""
-    fit = docs.where(train_rows & F.col(label_column).isNotNull() & F.col(text_column).isNotNull())
-    counts = fit.groupBy(label_column).agg(F.count("*").alias("_n"))
+    fit = docs.where(train_rows & F.col(label_column).isNotNull()).select(id_column, text_column, label_column)
+    ids = fit.select(id_column, label_column)  # the texts stay where they are
+    counts = ids.groupBy(label_column).agg(F.count("*").alias("_n"))
+    few = counts.count() <= MANY_LABELS
+    small = F.broadcast if few else lambda df: df
     draw = F.pmod(F.xxhash64(F.col(id_column), F.lit(11)), F.lit(1 << 30)) / (1 << 30)
-    drawn = fit.select(id_column, text_column, label_column, draw.alias("_draw")).join(counts, label_column).where(F.col("_draw") * F.col("_n") < per_label).select(id_column, text_column, label_column)
+    chosen = ids.join(small(counts), label_column).where(draw * F.col("_n") < per_label).select(id_column).distinct()
+    drawn = fit.where(F.col(text_column).isNotNull()).join(small(chosen), id_column, "left_semi").select(id_column, text_column, label_column)
 
     def run(batches):
         for batch in batches:
