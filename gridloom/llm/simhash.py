@@ -15,6 +15,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -188,41 +189,19 @@ def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: in
 
 
 # ---- similarity of word shingles ----
-SHINGLE, SIMILARITY, MISSED = 5, 0.8, 0.01
-CHECK_WORDS = 8  # 64-bit words of the fingerprint that verifies
+SHINGLE, SIMILARITY = 5, 0.8
 #: Ids (8 bytes each) that are broadcast rather than joined by a shuffle of the texts.
 FEW = 2_000_000
-
-
-def _apart(similarity: float) -> float:
-    """Share of SimHash bits that differ between two sets of that Jaccard similarity."""
-    return math.acos(min(1.0, 2 * similarity / (1 + similarity))) / math.pi
-
-
-def plan(n: int, similarity: float = SIMILARITY, shingle: int = SHINGLE) -> tuple[int, int, int]:
-    """Bits of a block, number of blocks, and Hamming bound of the verifying fingerprint.
-
-    Blocks are cut from a SimHash of the single words: where shingles of ``shingle`` words are
-    ``similarity`` alike, single words differ at its shingle-th root. A block has a few more
-    bits than there are documents; there are so many blocks that at most MISSED of such pairs
-    share none. The bound has one standard deviation of room.
-    """
-    same_shingles = 2 * similarity / (1 + similarity)
-    agree = 1 - math.acos(same_shingles ** (1 / shingle)) / math.pi
-    bits = min(40, max(20, math.ceil(math.log2(max(n, 2))) + 4))
-    blocks = math.ceil(math.log(MISSED) / math.log(1 - agree**bits))
-    total, share = 64 * CHECK_WORDS, _apart(similarity)
-    return bits, blocks, math.floor(total * share + math.sqrt(total * share * (1 - share)))
-
-
-def _block_values(words: np.ndarray, bits: int, blocks: int) -> np.ndarray:
-    """Blocks of ``bits`` bits cut one after another from rows of 64-bit words."""
-    flat = np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")[:, : bits * blocks].reshape(len(words), blocks, bits)
-    return flat.astype(np.int64) @ (np.int64(1) << np.arange(bits, dtype=np.int64))
+#: One document in so many is looked at for frequent shingles, and as many of those are ordered last.
+SAMPLED, FREQUENT = 16, 200_000
+#: Rounds that compare with one member of a key only, before all pairs that are still apart.
+STARS = 2
+#: Pairs that a task makes at a time.
+PAIRS = 1 << 20
 
 
 def _once(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes without repeats inside a document."""
+    """Hashes without repeats inside a document, in ascending order."""
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
     order = np.lexsort((hashes, doc))
     h, d = hashes[order], doc[order]
@@ -230,51 +209,177 @@ def _once(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return h[new], np.append(0, np.cumsum(np.bincount(d[new], minlength=len(first) - 1)))
 
 
-def wide_prints(docs: DataFrame, bits: int, blocks: int, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, node (a hash of all bits), parts (blocks of the words' SimHash) and bits (SimHash of the shingles)."""
+def shingle_sets(docs: DataFrame, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, place (a number of its own for each row), node (a hash of the set) and hashes (of its distinct shingles)."""
     ship(docs.sparkSession)
-    n_words = -(-bits * blocks // 64)
-    seeds = [np.uint64(1_000_003 * (k + 1)) for k in range(max(n_words, CHECK_WORDS))]
 
     def run(batches):
+        place = TaskContext.get().partitionId() << 40
         for batch in batches:
             buf, offsets = text_buffer(batch.column(1))
             ids, null = long_ids(batch.column(0))
             for a, b in chunks(offsets, 1 << 20):
-                part, own = LOWER[buf[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a]
-                made = []
-                for size, n in ((1, n_words), (shingle, CHECK_WORDS)):
-                    joined, begin, stop, first = shingle_spans(part, own, size)
-                    h, first = _once(xxh64(joined, begin, stop, SEED), first)
-                    made.append(np.stack([fingerprint(mix(h ^ seeds[k]), first) for k in range(n)], 1))
-                whole = np.ascontiguousarray(np.concatenate(made, axis=1))
-                every = np.arange(b - a) * whole.shape[1] * 8
-                node = xxh64(whole.view(np.uint8).ravel(), every, every + whole.shape[1] * 8, SEED).view(np.int64)
-                values = _block_values(np.ascontiguousarray(made[0]), bits, blocks)
-                parts = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * blocks), pa.array(values.ravel()))
-                raw = np.ascontiguousarray(made[1]).tobytes()
-                step = CHECK_WORDS * 8
-                yield pa.RecordBatch.from_arrays([id_array(ids[a:b], null[a:b]), pa.array(node), parts, pa.array([raw[i * step : (i + 1) * step] for i in range(b - a)], pa.binary())], names=["doc_id", "node", "parts", "bits"])
-
-    return docs.select(id_column, text_column).mapInArrow(run, "doc_id long, node long, parts array<long>, bits binary")
+                joined, begin, stop, first = shingle_spans(LOWER[buf[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a], shingle)
+                h, first = _once(xxh64(joined, begin, stop, SEED), first)
+                node = xxh64(h.view(np.uint8), first[:-1] * 8, first[1:] * 8, SEED).view(np.int64)
+                sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([id_array(ids[a:b], null[a:b]), pa.array(np.arange(place, place + b - a)), pa.array(node), sets], names=["doc_id", "place", "node", "hashes"])
+                place += b - a
+
+    return docs.select(id_column, text_column).mapInArrow(run, "doc_id long, place long, node long, hashes array<long>")
+
+
+def _frequent(sets: DataFrame) -> np.ndarray:
+    """Shingles that a sample shows to be frequent, the most frequent last; they only order the shingles, any order is exact."""
+    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select(F.explode("hashes").alias("key"))
+    counts = sample.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "key").limit(FREQUENT)
+    return np.array([r[0] for r in counts.collect()][::-1], np.int64)  # at most FREQUENT
+
+
+def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
+    """key, node, size and place of the rarest shingles of each set: two sets that are ``similarity`` alike share one of these."""
+    frequent = _frequent(sets)
+    by_hash = np.argsort(frequent)
+    sent = sets.sparkSession.sparkContext.broadcast((frequent[by_hash], by_hash + 1))
+
+    def run(batches):
+        known, ranks = sent.value
+        for batch in batches:
+            column = batch.column(1)
+            h, first = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
+            first = first - first[0]
+            size = np.diff(first)
+            rank = np.zeros(len(h), np.int64)
+            if len(known) and len(h):
+                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                rank = np.where(known[at] == h, ranks[at], 0)
+            doc = np.repeat(np.arange(len(size)), size)
+            h = h[np.argsort(doc * (len(known) + 1) + rank, kind="stable")]
+            count = np.where(size > 0, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
+            own = np.repeat(np.arange(len(size)), count)
+            at = ragged(first[:-1], count)
+            node = batch.column(0).to_numpy(zero_copy_only=False)
+            for a in range(0, len(at), PAIRS):
+                o, x = own[a : a + PAIRS], at[a : a + PAIRS]
+                yield pa.RecordBatch.from_arrays([pa.array(h[x]), pa.array(node[o]), pa.array(size[o].astype(np.int32)), pa.array((x - first[o]).astype(np.int32))], names=["key", "node", "size", "place"])
+
+    return sets.select("node", "hashes").mapInArrow(run, "key long, node long, size int, place int")
+
+
+def _whole_keys(batches):
+    """Columns of a partition that is sorted by its first one, with all rows of a key together."""
+    held = None
+    for batch in itertools.chain(batches, [None]):
+        if batch is not None:
+            if not batch.num_rows:
+                continue
+            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
+            cut = int(np.searchsorted(held[0], held[0][-1]))
+        else:
+            cut = len(held[0]) if held else 0
+        if cut:
+            yield [x[:cut] for x in held]
+            held = [x[cut:] for x in held]
+
+
+def _shared(batches):
+    """Rows whose key another row has."""
+    for columns in _whole_keys(batches):
+        same = columns[0][1:] == columns[0][:-1]
+        keep = np.append(False, same) | np.append(same, False)
+        yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["key", "node", "size", "place"])
+
+
+def _pairs(similarity: float, star: int | None):
+    """Pairs of a key's nodes of different roots that may be similar by their sizes and the key's places in them.
+
+    Rows are sorted by key and root. With ``star`` a key's pairs are those with one of its nodes, which that number picks.
+    """
+
+    def run(batches):
+        for key, root, node, size, place in _whole_keys(batches):
+            size, place = size.astype(np.int64), place.astype(np.int64)
+            new = np.append(True, key[1:] != key[:-1])
+            start = np.flatnonzero(new)
+            group = np.cumsum(new) - 1
+            if star is not None:
+                order = np.lexsort((mix(node.view(np.uint64) ^ np.uint64(star)), group))
+                left, count = order[start], np.diff(np.append(start, len(key)))
+                begin = start
+            else:
+                runs = np.flatnonzero(new | np.append(True, root[1:] != root[:-1]))
+                left = np.arange(len(key))
+                begin = np.repeat(np.append(runs[1:], len(key)), np.diff(np.append(runs, len(key))))
+                count = np.append(start[1:], len(key))[group] - begin
+            total = np.append(0, np.cumsum(count))
+            at = 0
+            while at < len(left):
+                end = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, side="right")) - 1)
+                a, b = np.repeat(left[at:end], count[at:end]), ragged(begin[at:end], count[at:end])
+                need = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9
+                may = (root[a] != root[b]) & (np.minimum(size[a] - place[a], size[b] - place[b]) >= need)
+                u, v = np.minimum(node[a[may]], node[b[may]]), np.maximum(node[a[may]], node[b[may]])
+                order = np.lexsort((v, u))
+                u, v = u[order], v[order]
+                once = np.append(True, (u[1:] != u[:-1]) | (v[1:] != v[:-1]))[: len(u)]
+                yield pa.RecordBatch.from_arrays([pa.array(u[once]), pa.array(v[once])], names=["u", "v"])
+                at = end
+
+    return run
+
+
+def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sets have at least that Jaccard similarity."""
+    of = lambda name, to: sets.select(F.col("node").alias(name), F.col("hashes").alias(to))
+    both = F.size(F.array_intersect("a", "b"))
+    return pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").where(both / (F.size("a") + F.size("b") - both) >= similarity).select("u", "v")
+
+
+def similar_links(sets: DataFrame, scope: Scope, similarity: float = SIMILARITY) -> DataFrame:
+    """Roots (u, v) of the nodes linked by sets at least ``similarity`` alike; sets has each node once, with its hashes.
+
+    Candidates share one of the rarest shingles (prefixes), so no pair is missed, and each is
+    verified by its exact Jaccard similarity. Nodes already connected are not compared again:
+    first a key's nodes are compared with one of them, at last all that have different roots.
+    """
+    keyed = prefixes(sets, similarity).repartition("key").sortWithinPartitions("key")
+    shared = scope.write(keyed.mapInArrow(_shared, keyed.schema), "shared-keys")
+    named = scope.write(shared.select("node").distinct(), "candidates")
+    few = named.count() <= FEW
+    sets = scope.write(sets.join(F.broadcast(named) if few else named, "node", "left_semi"), "candidate-sets")
+    links = roots = None
+    for star in [*range(1, STARS + 1), None]:
+        rows = shared.withColumn("root", F.col("node"))
+        if roots is not None:
+            rows = shared.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
+            apart = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+            rows = rows.join(apart, "key", "left_semi")
+        rows = rows.select("key", "root", "node", "size", "place").repartition("key").sortWithinPartitions("key", "root")
+        pairs = scope.write(rows.mapInArrow(_pairs(similarity, star), "u long, v long").distinct(), "pairs")
+        found = scope.write(_alike(pairs, sets, similarity), "similar-links")
+        if roots is not None and found.isEmpty():
+            continue
+        links = found if roots is None else roots.union(found)
+        roots = components(links, scope)
+    return roots
 
 
 def similar_groups(docs: DataFrame, *, scope: Scope, similarity: float = SIMILARITY, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id and component_id of every row: documents linked by word shingles at least ``similarity`` alike.
+    """doc_id and component_id of every row: documents linked by sets of word shingles at least ``similarity`` alike (Jaccard).
 
-    Candidates share a block of the SimHash of their distinct words; a candidate is a link if
-    the SimHashes of their distinct shingles differ in no more bits than that similarity gives.
+    Texts shorter than a shingle are one shingle; those without words are alike.
     """
-    bits, blocks, distance = plan(docs.count(), similarity, shingle)
-    prints = scope.write(wide_prints(docs, bits, blocks, shingle=shingle, id_column=id_column, text_column=text_column), "wide-prints")
-    nodes = prints.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.first("parts").alias("parts"), F.first("bits").alias("bits"))
-    nodes = scope.write(nodes, "nodes")
+    sets = scope.write(shingle_sets(docs, shingle=shingle, id_column=id_column, text_column=text_column), "shingle-sets")
+    nodes = scope.write(sets.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.min("place").alias("place")), "nodes")
     total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    keyed = nodes.select(F.posexplode("parts").alias("mask", "part"), "node", "bits").select("mask", "part", "node", "bits")
-    roots = components(scope.write(verified(keyed, distance), "similar-links"), scope)
+    first = nodes.select("place")
+    again = scope.write(sets.select("place").join(first, "place", "left_anti"), "copies")
+    once = sets.join(F.broadcast(again) if again.count() <= FEW else again, "place", "left_anti").select("node", "hashes")
+    roots = similar_links(once, scope, similarity)
     rooted = nodes.select("node", "n", "low").join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "n", "component_id")
-    return join_to_unique(prints.select("doc_id", "node"), named, "node", total).select("doc_id", "component_id")
+    return join_to_unique(sets.select("doc_id", "node"), named, "node", total).select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame, *, scope: Scope, id_column: str = "doc_id", **options) -> DataFrame:
