@@ -9,6 +9,8 @@ id is below its cell's probability.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,8 @@ from .shared import Scope, join_to_unique, session_scope
 
 DIMENSIONS = ("source", "lang", "topic")
 ALPHA, SWEEPS, SHARE = 0.7, 8, 0.8
+#: Raking goes on, SWEEPS at a time, until no marginal is further than this share from its target; at most so many sweeps.
+TOLERANCE, MOST_SWEEPS = 1e-6, 800
 BYTES_PER_TOKEN = 4
 #: Characters from which a text is of medium length, and long.
 SHORT, LONG = 1000, 5000
@@ -43,8 +47,8 @@ def draw_of(doc_id: Column) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / float(1 << 32)
 
 
-def rake(cells: DataFrame, alpha: float = ALPHA, sweeps: int = SWEEPS, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
-    """Adds weight: tokens raked to the target marginals.
+def aimed(cells: DataFrame, alpha: float = ALPHA, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
+    """Adds weight, the tokens, and to_ each dimension, the target of the cell's marginal.
 
     A dimension's target shares are ``targets[dimension]`` (by value, all values given) or its
     own token shares to the power alpha; both are brought to the sum of the tokens.
@@ -62,11 +66,45 @@ def rake(cells: DataFrame, alpha: float = ALPHA, sweeps: int = SWEEPS, targets:
             out = out.withColumn(f"to_{d}", F.pow(F.col(f"own_{d}") / F.col("all_tokens"), F.lit(alpha)))
         total = F.sum(F.col(f"to_{d}") * F.col("tokens") / F.col(f"own_{d}")).over(everything)
         out = out.withColumn(f"to_{d}", F.col(f"to_{d}") / total * F.col("all_tokens"))
+    return out.select(*cells.columns, "weight", *[f"to_{d}" for d in DIMENSIONS])
+
+
+def swept(out: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
+    """Weights of aimed cells raked along each dimension in turn."""
     for _ in range(sweeps):
         for d in DIMENSIONS:
             held = F.sum("weight").over(Window.partitionBy(d))
             out = out.withColumn("weight", F.when(held > 0, F.col("weight") * F.col(f"to_{d}") / held).otherwise(F.lit(0.0)))
-    return out.select(*cells.columns, "weight")
+    return out
+
+
+def residual(out: DataFrame) -> float:
+    """The largest share by which a marginal misses its target."""
+    for d in DIMENSIONS:
+        to = F.col(f"to_{d}")
+        out = out.withColumn(f"off_{d}", F.when(to > 0, F.abs(F.sum("weight").over(Window.partitionBy(d)) / to - 1)).otherwise(F.lit(0.0)))
+    return out.agg(F.max(F.greatest(*[f"off_{d}" for d in DIMENSIONS]))).first()[0] or 0.0
+
+
+def rake(cells: DataFrame, scope: Scope, one: bool, alpha: float = ALPHA, sweeps: int | None = None, targets: dict[str, dict[str, float]] | None = None) -> DataFrame:
+    """Adds weight: tokens raked to the target marginals, by so many sweeps or until all are within TOLERANCE; ``one`` task at a time has all cells.
+
+    Targets that no weights of these cells meet end with a warning that tells the residual, where sweeps no longer lower it.
+    """
+    state = aimed(cells, alpha, targets)
+    if sweeps is not None:
+        return swept(state, sweeps).select(*cells.columns, "weight")
+    off, done = float("inf"), 0
+    while True:
+        state = scope.write(swept(state), "raked")
+        state, done = state.coalesce(1) if one else state, done + SWEEPS
+        before, off = off, residual(state)
+        if off <= TOLERANCE:
+            break
+        if done >= MOST_SWEEPS or off > 0.999 * before:
+            warnings.warn(f"raking ends after {done} sweeps with a marginal {off:.3g} of its target away", stacklevel=2)
+            break
+    return state.select(*cells.columns, "weight")
 
 
 def calibrate(raked: DataFrame, share: float = SHARE) -> DataFrame:
@@ -84,12 +122,13 @@ def calibrate(raked: DataFrame, share: float = SHARE) -> DataFrame:
     return out.withColumn("probability", F.coalesce(F.when(F.col("k").isNotNull(), F.least(F.lit(1.0), F.col("k") * F.col("factor"))), every)).drop("place", "k")
 
 
-def mixed(docs: DataFrame, *, scope: Scope | None = None, id_column: str = "doc_id", text_column: str = "text", topic: Column | None = None, alpha: float = ALPHA, sweeps: int = SWEEPS, share: float = SHARE, targets: dict[str, dict[str, float]] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+def mixed(docs: DataFrame, *, scope: Scope | None = None, id_column: str = "doc_id", text_column: str = "text", topic: Column | None = None, alpha: float = ALPHA, sweeps: int | None = None, share: float = SHARE, targets: dict[str, dict[str, float]] | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, source, lang, topic, tokens, factor, probability, selected and the kept columns (as given) of every row.
 
     Nulls of a dimension are a class of their own, shown as ``~``. A repeated id has one draw;
     a null text has one token. ``topic`` is the topic's column; by default it is topic_of the
-    text. An empty table gives no rows.
+    text. Raking goes on until the marginals meet their targets, or for ``sweeps`` sweeps. An empty
+    table gives no rows.
     """
     own = scope or session_scope(docs.sparkSession)
     text = F.col(text_column)
@@ -103,9 +142,10 @@ def mixed(docs: DataFrame, *, scope: Scope | None = None, id_column: str = "doc_
     ).withColumn("cell", F.to_json(F.struct(*DIMENSIONS)))
     cells = own.write(named.groupBy("cell", *DIMENSIONS).agg(F.count("*").alias("n"), F.sum("tokens").alias("tokens")), "cells")
     n_cells, total = cells.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    if n_cells <= ONE_TASK:
+    one = n_cells <= ONE_TASK
+    if one:
         cells = cells.coalesce(1)
-    solved = own.write(calibrate(rake(cells, alpha, sweeps, targets), share).select("cell", "n", "factor", "probability"), "probabilities")
+    solved = own.write(calibrate(rake(cells, own, one, alpha, sweeps, targets), share).select("cell", "n", "factor", "probability"), "probabilities")
     if n_cells <= BROADCAST:
         out = named.join(F.broadcast(solved.drop("n")), "cell")
     else:

@@ -26,7 +26,7 @@ def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = Scope(spark)
-    rows = mixing.mixed(table(spark, sf_dir, "documents"), scope=scope)
+    rows = mixing.mixed(table(spark, sf_dir, "documents"), scope=scope, sweeps=mixing.SWEEPS)  # as its SQL does
     return scope.hold(rows.withColumn("factor", F.round("factor", 6)).withColumn("probability", F.round("probability", 6)))
 
 
