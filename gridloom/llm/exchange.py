@@ -30,6 +30,12 @@ def cells(block: int, buckets, payloads) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([block] * len(payloads), pa.int64()), pa.array(buckets, pa.int32()), pa.array(payloads, pa.binary())], schema=CELL_ARROW)
 
 
+def narrow(values: np.ndarray) -> np.ndarray:
+    """Non-negative values in the smallest unsigned type that holds them."""
+    most = int(values.max()) if len(values) else 0
+    return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+
+
 def block_ids() -> Iterator[int]:
     """Ids that no other task of the same written table uses."""
     at = TaskContext.get().partitionId() << 32
@@ -75,7 +81,7 @@ def stage(docs: DataFrame, id_column: str, text_column: str, path: str, buckets:
         for k in range(buckets):
             a, b = bounds[k], bounds[k + 1]
             if a < b:
-                payloads.append(pack(sizes[a:b].astype(np.uint32), data[ragged(starts[a:b], sizes[a:b])]))
+                payloads.append(pack(narrow(sizes[a:b]), data[ragged(starts[a:b], sizes[a:b])], squeeze=True))
                 used.append(k)
         return cells(block_id, used, payloads)
 
@@ -89,7 +95,7 @@ def answer(staged: DataFrame, path: str, value: Callable) -> DataFrame:
     """
 
     def run(table: pa.Table) -> pa.Table:
-        parts = [unpack(x) for x in table.column("payload").to_pylist()]
+        parts = [unpack(x, squeezed=True) for x in table.column("payload").to_pylist()]
         counts = [len(p[0]) for p in parts]
         sizes = np.concatenate([p[0] for p in parts]).astype(np.int64)
         data = np.concatenate([p[1] for p in parts])
@@ -106,7 +112,7 @@ def answer(staged: DataFrame, path: str, value: Callable) -> DataFrame:
         out, at = [], 0
         for n in counts:
             own = index[at : at + n]
-            out.append(pack(lengths[own], values[ragged(begin[own], lengths[own].astype(np.int64))]))
+            out.append(pack(narrow(lengths[own]), narrow(values[ragged(begin[own], lengths[own].astype(np.int64))]), squeeze=True))
             at += n
         return pa.Table.from_arrays([table.column("block"), table.column("bucket"), pa.array(out, pa.binary())], schema=CELL_ARROW)
 
@@ -119,9 +125,9 @@ def settle(staged: DataFrame, answers: DataFrame, finish: Callable, schema: str,
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         order = np.argsort(found.column("bucket").to_numpy())
         cells_ = found.column("payload").to_pylist()
-        parts = [unpack(cells_[i]) for i in order.tolist()]
-        sizes = np.concatenate([p[0] for p in parts]) if parts else np.zeros(0, np.uint32)
-        values = np.concatenate([p[1] for p in parts]) if parts else np.zeros(0, np.uint32)
+        parts = [unpack(cells_[i], squeezed=True) for i in order.tolist()]
+        sizes = np.concatenate([p[0].astype(np.uint32) for p in parts]) if parts else np.zeros(0, np.uint32)
+        values = np.concatenate([p[1].astype(np.uint32) for p in parts]) if parts else np.zeros(0, np.uint32)
         made = [finish(x, sizes, values) for x in docs.column("payload").to_pylist()]
         return pa.concat_tables([pa.Table.from_arrays(x, schema=arrow) for x in made]) if made else arrow.empty_table()
 
