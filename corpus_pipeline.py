@@ -10,17 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridloom.llm import mixing, packing, quality, simhash, substrings
-from gridloom.llm.shared import Scope, table
+from gridloom.llm.shared import Scope, quoted, table
 
 
 def _boxed(docs: DataFrame) -> tuple[DataFrame, list[str]]:
     """docs as doc_id, text and one struct of all other columns."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return docs.select("doc_id", "text", F.struct(*([F.col(f"`{c}`") for c in others] or [F.lit(0).alias("_none")])).alias("_rest")), others
+    return docs.select("doc_id", "text", F.struct(*([F.col(quoted(c)) for c in others] or [F.lit(0).alias("_none")])).alias("_rest")), others
 
 
 def _unboxed(rows: DataFrame, columns: list[str]) -> DataFrame:
-    return rows.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"_rest.`{c}`").alias(c) for c in columns])
+    return rows.select(*[F.col(c) if c in ("doc_id", "text") else F.col(f"_rest.{quoted(c)}").alias(c) for c in columns])
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +34,7 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of smallest id, of each group of near-duplicates."""
     scope = Scope(spark)
-    return scope.hold(simhash.one_of_each(docs, scope=scope))
+    return simhash.one_of_each(docs, scope=scope)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,21 +44,21 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     out = _unboxed(substrings.without_repeats(boxed, carry=("_rest",), scope=scope), docs.columns)
     if "n_chars" in others:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind)).select(*docs.columns)
-    return scope.hold(out)
+        out = out.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(kind)).select(*[quoted(c) for c in docs.columns])
+    return out
 
 
 def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by calibrated probabilities of their source, language and topic."""
     scope = Scope(spark)
-    rows = mixing.mixed(docs, scope=scope, keep=tuple(f"`{c}`" for c in docs.columns))
-    return scope.hold(rows.where("selected").select(*[F.col(f"_kept.`{c}`").alias(c) for c in docs.columns]))
+    rows = mixing.mixed(docs, scope=scope, keep=tuple(quoted(c) for c in docs.columns))
+    return rows.where("selected").select(*[F.col(f"_kept.{quoted(c)}").alias(c) for c in docs.columns])
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their places in training sequences."""
     scope = Scope(spark)
-    return scope.hold(packing.packed(docs, scope=scope))
+    return packing.packed(docs, scope=scope)
 
 
 STAGES = [
@@ -78,4 +78,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope, docs = Scope(spark), table(spark, sf_dir, "documents")
     for i, (name, stage) in enumerate(STAGES):
         docs = scope.write(stage(spark, docs, sf_dir), f"stage-{i}")
-    return scope.hold(docs)
+    return docs

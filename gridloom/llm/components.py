@@ -1,8 +1,8 @@
 """Connected components of any number of links, by large-star and small-star rounds on DataFrames.
 
 Each round is two aggregations and two joins of links; its result is a written table, so a
-round that loses executors is redone from the last one. A node with many links is only ever
-aggregated (its smallest neighbour) and joined from its links' side.
+round that loses executors is redone from the last one. A node with many links is aggregated
+(its smallest neighbour, combined before the shuffle) and then broadcast to its links.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import Scope, ship
+from .shared import Scope, join_to_unique, ship
 
 LINKS = "u long, v long"
 
@@ -38,13 +38,14 @@ def _contract(batches):
         yield pa.RecordBatch.from_arrays([pa.array(nodes[far]), pa.array(nodes[label[far]])], names=["u", "v"])
 
 
-def _round(links: DataFrame) -> DataFrame:
+def _round(links: DataFrame, n: int) -> DataFrame:
+    """Large star, then small star, of n links; a hub's links are split among tasks."""
     both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-    large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"), F.count("*").alias("n"))
+    large = join_to_unique(both.where("v > u"), least, "u", 2 * n).select(F.col("v").alias("u"), F.col("m").alias("v"))
     large = large.union(least.where("m < u").select("u", F.col("m").alias("v"))).distinct()
-    least = large.groupBy("u").agg(F.min("v").alias("m"))
-    small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+    least = large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    small = join_to_unique(large, least, "u", n).select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
     return small.where("u <> v").distinct()
 
 
@@ -55,10 +56,10 @@ def components(links: DataFrame, scope: Scope) -> DataFrame:
     """
     ship(links.sparkSession)
     state = scope.write(links.where("u <> v").mapInArrow(_contract, LINKS), "links")
-    mark = None
+    mark = state.count(), None
     while True:
-        state = scope.write(_round(state), "links")
-        now = state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if tuple(now) == mark:
+        state = scope.write(_round(state, mark[0]), "links")
+        now = tuple(state.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == mark:
             return state
-        mark = tuple(now)
+        mark = now

@@ -15,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .kernels import chunks, ragged, text_buffer
-from .shared import crc_mod, id_array, long_ids, ship
+from .shared import crc_mod, id_array, long_ids, quoted, ship
 
 FOLDS, HELD_OUT = 3, 1
 FILTERS, SPAN, EMBED, HIDDEN, CHUNK = 24, 6, 8, 24, 256  # SPAN is even, CHUNK a power of two
@@ -195,8 +196,9 @@ def quality_scores(docs: DataFrame, model: Network | float, *, id_column: str =
     spark = docs.sparkSession
     ship(spark)
     sent = spark.sparkContext.broadcast(model)  # some tens of kB
-    schema = ROWS.replace("doc_id", id_column, 1) + "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in carry)
-    names = [x.split()[0] for x in schema.split(", ")]
+    kinds = (T.LongType(), T.BooleanType(), T.DoubleType(), T.IntegerType())
+    names = [id_column, "held_out", "score", "predicted", *carry]
+    schema = T.StructType([T.StructField(c, kind) for c, kind in zip(names, (*kinds, *(docs.schema[c].dataType for c in carry)), strict=True)])
 
     def run(batches):
         net = sent.value
@@ -209,4 +211,4 @@ def quality_scores(docs: DataFrame, model: Network | float, *, id_column: str =
                 score[a:b] = net.scores(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], pairs)
             yield pa.RecordBatch.from_arrays([id_array(ids, null), batch.column(2), pa.array(score), pa.array((score >= 0.5).astype(np.int32)), *batch.columns[3:]], names=names)
 
-    return docs.select(id_column, text_column, (crc_mod(id_column, folds) == held_out).alias("_held"), *carry).mapInArrow(run, schema)
+    return docs.select(id_column, text_column, (crc_mod(id_column, folds) == held_out).alias("_held"), *[quoted(c) for c in carry]).mapInArrow(run, schema)

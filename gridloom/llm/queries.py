@@ -11,28 +11,28 @@ from .shared import Scope, table
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = Scope(spark)
-    return scope.hold(token_counts.with_limit(token_counts.token_counts(table(spark, sf_dir, "documents"), scope=scope)))
+    return token_counts.with_limit(token_counts.token_counts(table(spark, sf_dir, "documents"), scope=scope))
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = Scope(spark)
-    return scope.hold(packing.packed(table(spark, sf_dir, "documents"), scope=scope))
+    return packing.packed(table(spark, sf_dir, "documents"), scope=scope)
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = Scope(spark)
-    return scope.hold(context_tree.text_scores(table(spark, sf_dir, "documents"), scope=scope))
+    return context_tree.text_scores(table(spark, sf_dir, "documents"), scope=scope)
 
 
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = Scope(spark)
     rows = mixing.mixed(table(spark, sf_dir, "documents"), scope=scope, sweeps=mixing.SWEEPS)  # as its SQL does
-    return scope.hold(rows.withColumn("factor", F.round("factor", 6)).withColumn("probability", F.round("probability", 6)))
+    return rows.withColumn("factor", F.round("factor", 6)).withColumn("probability", F.round("probability", 6))
 
 
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = Scope(spark)
-    return scope.hold(simhash.near_duplicates(table(spark, sf_dir, "documents"), scope=scope))
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), scope=scope)
 
 
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +56,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     scope = Scope(spark)
     made = substrings.without_repeats(table(spark, sf_dir, "documents"), texts=False, scope=scope)
-    return scope.hold(made.select("doc_id", "n_words", "n_removed", "kept_sha256"))
+    return made.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 QUERIES = {f.__name__: f for f in (op1_token_counts, op2_packing, op3_lm_scoring, op4_source_mixing, op5_simhash_near_dedup, op6_media_columns, op7_exact_top_k, op8_language_id, op9_quality_classifier, op10_substring_dedup)}

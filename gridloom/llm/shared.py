@@ -72,6 +72,19 @@ def id_array(ids: np.ndarray, null: np.ndarray) -> pa.Array:
     return pa.array(ids, pa.int64(), mask=null.astype(bool))
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression, whatever is in it."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def unused(name: str, rows: DataFrame) -> str:
+    """A column name that rows, whatever the case of its names, does not have."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def crc_mod(column: str, modulus: int):
     """crc32 of the id's text, modulo; a null id counts as remainder -1."""
     return F.coalesce(F.crc32(F.col(column).cast("string").cast("binary")) % modulus, F.lit(-1))

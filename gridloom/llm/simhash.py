@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .components import components
 from .kernels import LOWER, chunks, mix, ragged, text_buffer, word_spans, xxh64
-from .shared import Scope, id_array, join_to_unique, long_ids, session_scope, ship
+from .shared import Scope, id_array, join_to_unique, long_ids, session_scope, ship, unused
 
 WORDS, SEED, DISTANCE = 4, 42, 4
 #: Members of a key that one step verifies.
@@ -167,6 +167,12 @@ def near_links(prints: DataFrame, n: int, *, distance: int = DISTANCE, members:
     return verified(keyed, distance, members)
 
 
+def _lowest(rooted: DataFrame, total: int) -> DataFrame:
+    """Adds component_id, the least low of the root's rows; rooted has ``total`` rows."""
+    least = rooted.groupBy("root").agg(F.min("low").alias("component_id"), F.count("*").alias("n"))
+    return join_to_unique(rooted, least, "root", total)
+
+
 def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: int = DISTANCE, words: int = WORDS, seed: int = SEED, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest id linked to it, of every row.
 
@@ -181,8 +187,7 @@ def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: in
     links = own.write(near_links(unique.select("fingerprint"), n, distance=distance), "near-links")
     roots = components(links, own)
     rooted = unique.join(roots.select(F.col("u").alias("fingerprint"), F.col("v").alias("root")), "fingerprint", "left").withColumn("root", F.coalesce("root", "fingerprint"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    named = rooted.join(lowest, "root").select("fingerprint", "n", "component_id")
+    named = _lowest(rooted.withColumnRenamed("n", "rows"), n).select("fingerprint", F.col("rows").alias("n"), "component_id")
     out = join_to_unique(prints, named, "fingerprint", total)
     out = out.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
     return out
@@ -194,8 +199,8 @@ SHINGLE, SIMILARITY = 5, 0.8
 FEW = 2_000_000
 #: One document in so many is looked at for frequent shingles, and as many of those are ordered last.
 SAMPLED, FREQUENT = 16, 200_000
-#: Rounds that compare with one member of a key only, before all pairs that are still apart.
-STARS = 2
+#: Rows of a key that one task compares with each other; a key with more is cut into chunks, and all pairs of chunks are compared.
+TOGETHER = 4096
 #: Pairs that a task makes at a time.
 PAIRS = 1 << 20
 
@@ -210,7 +215,7 @@ def _once(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
 
 
 def shingle_sets(docs: DataFrame, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, place (a number of its own for each row), node (a hash of the set) and hashes (of its distinct shingles)."""
+    """doc_id, place (a number of its own for each row), node (a hash of the set), fingerprint and hashes (of its distinct shingles)."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -223,10 +228,10 @@ def shingle_sets(docs: DataFrame, *, shingle: int = SHINGLE, id_column: str = "d
                 h, first = _once(xxh64(joined, begin, stop, SEED), first)
                 node = xxh64(h.view(np.uint8), first[:-1] * 8, first[1:] * 8, SEED).view(np.int64)
                 sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([id_array(ids[a:b], null[a:b]), pa.array(np.arange(place, place + b - a)), pa.array(node), sets], names=["doc_id", "place", "node", "hashes"])
+                yield pa.RecordBatch.from_arrays([id_array(ids[a:b], null[a:b]), pa.array(np.arange(place, place + b - a)), pa.array(node), pa.array(fingerprint(h, first).view(np.int64)), sets], names=["doc_id", "place", "node", "fingerprint", "hashes"])
                 place += b - a
 
-    return docs.select(id_column, text_column).mapInArrow(run, "doc_id long, place long, node long, hashes array<long>")
+    return docs.select(id_column, text_column).mapInArrow(run, "doc_id long, place long, node long, fingerprint long, hashes array<long>")
 
 
 def _frequent(sets: DataFrame) -> np.ndarray:
@@ -291,34 +296,30 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["key", "node", "size", "place"])
 
 
-def _pairs(similarity: float, star: int | None):
-    """Pairs of a key's nodes of different roots that may be similar by their sizes and the key's places in them.
+def _pairs(similarity: float):
+    """Pairs of a group's nodes of different roots that may be similar by their sizes and the key's places in them.
 
-    Rows are sorted by key and root. With ``star`` a key's pairs are those with one of its nodes, which that number picks.
+    Rows are sorted by group and root: group, root, node, size, place and chunk. Of a group of
+    two chunks only pairs across them are made.
     """
 
     def run(batches):
-        for key, root, node, size, place in _whole_keys(batches):
+        for group, root, node, size, place, chunk in _whole_keys(batches):
             size, place = size.astype(np.int64), place.astype(np.int64)
-            new = np.append(True, key[1:] != key[:-1])
+            new = np.append(True, group[1:] != group[:-1])
             start = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            if star is not None:
-                order = np.lexsort((mix(node.view(np.uint64) ^ np.uint64(star)), group))
-                left, count = order[start], np.diff(np.append(start, len(key)))
-                begin = start
-            else:
-                runs = np.flatnonzero(new | np.append(True, root[1:] != root[:-1]))
-                left = np.arange(len(key))
-                begin = np.repeat(np.append(runs[1:], len(key)), np.diff(np.append(runs, len(key))))
-                count = np.append(start[1:], len(key))[group] - begin
+            own = np.cumsum(new) - 1
+            two = np.maximum.reduceat(chunk, start) != np.minimum.reduceat(chunk, start)
+            runs = np.flatnonzero(new | np.append(True, root[1:] != root[:-1]))
+            begin = np.repeat(np.append(runs[1:], len(group)), np.diff(np.append(runs, len(group))))
+            count = np.append(start[1:], len(group))[own] - begin
             total = np.append(0, np.cumsum(count))
             at = 0
-            while at < len(left):
+            while at < len(group):
                 end = max(at + 1, int(np.searchsorted(total, total[at] + PAIRS, side="right")) - 1)
-                a, b = np.repeat(left[at:end], count[at:end]), ragged(begin[at:end], count[at:end])
+                a, b = np.repeat(np.arange(at, end), count[at:end]), ragged(begin[at:end], count[at:end])
                 need = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9
-                may = (root[a] != root[b]) & (np.minimum(size[a] - place[a], size[b] - place[b]) >= need)
+                may = (np.minimum(size[a] - place[a], size[b] - place[b]) >= need) & (~two[own[a]] | (chunk[a] != chunk[b]))
                 u, v = np.minimum(node[a[may]], node[b[may]]), np.maximum(node[a[may]], node[b[may]])
                 order = np.lexsort((v, u))
                 u, v = u[order], v[order]
@@ -329,6 +330,31 @@ def _pairs(similarity: float, star: int | None):
     return run
 
 
+def _starred(shared: DataFrame, similarity: float) -> DataFrame:
+    """Distinct pairs (u, v) of each key's nodes with one of them, of different roots and similar enough by size and place."""
+    centre = F.min(F.struct(F.xxhash64("node"), "root", "node", "size", "place")).alias("c")
+    both = join_to_unique(shared, shared.groupBy("key").agg(centre, F.count("*").alias("n")).where("n > 1"), "key", shared.count())
+    need = similarity / (1 + similarity) * (F.col("size") + F.col("c.size")) - 1e-9
+    may = (F.col("root") != F.col("c.root")) & (F.least(F.col("size") - F.col("place"), F.col("c.size") - F.col("c.place")) >= need)
+    return both.where(may).select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")).distinct()
+
+
+def _all_pairs(shared: DataFrame, similarity: float, together: int | None = None) -> DataFrame:
+    """Distinct pairs (u, v) of nodes of different roots that share a key and are similar enough by size and place."""
+    together = together or TOGETHER
+    rows = shared.select(F.col("key").alias("group"), "root", "node", "size", "place", F.lit(0).alias("chunk"))
+    large = shared.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > together)
+    if not large.isEmpty():
+        cut = large.select("key", F.ceil(F.col("n") / together).cast("int").alias("cut"))
+        dealt = shared.join(cut, "key", "left").withColumn("cut", F.coalesce("cut", F.lit(1)))
+        dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("cut")).cast("int"))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
+        group = F.when(F.col("cut") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")))
+        rows = dealt.select(group.alias("group"), "root", "node", "size", "place", "chunk")
+    rows = rows.repartition("group").sortWithinPartitions("group", "root")
+    return rows.mapInArrow(_pairs(similarity), "u long, v long").distinct()
+
+
 def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """The pairs (u, v) whose sets have at least that Jaccard similarity."""
     of = lambda name, to: sets.select(F.col("node").alias(name), F.col("hashes").alias(to))
@@ -336,12 +362,25 @@ def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     return pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").where(both / (F.size("a") + F.size("b") - both) >= similarity).select("u", "v")
 
 
-def similar_links(sets: DataFrame, scope: Scope, similarity: float = SIMILARITY) -> DataFrame:
-    """Roots (u, v) of the nodes linked by sets at least ``similarity`` alike; sets has each node once, with its hashes.
+def _fingerprint_pairs(sets: DataFrame, scope: Scope, distance: int) -> DataFrame:
+    """Pairs (u, v) of nodes whose fingerprints are equal or linked by pigeonhole blocks, each node with one other of its fingerprint."""
+    nodes = sets.select("node", "fingerprint")
+    unique = scope.write(nodes.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("node").alias("first")), "distinct-fingerprints")
+    n, total = unique.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    same = join_to_unique(nodes, unique.where("n > 1"), "fingerprint", total).where("node <> first").select("first", "node")
+    links = near_links(unique.select("fingerprint"), n, distance=distance)
+    node_of = lambda name, to: unique.select(F.col("fingerprint").alias(name), F.col("first").alias(to))
+    near = links.join(node_of("u", "a"), "u").join(node_of("v", "b"), "v").select("a", "b")
+    return same.union(near).select(F.least(*same.columns).alias("u"), F.greatest(*same.columns).alias("v")).distinct()
+
 
-    Candidates share one of the rarest shingles (prefixes), so no pair is missed, and each is
-    verified by its exact Jaccard similarity. Nodes already connected are not compared again:
-    first a key's nodes are compared with one of them, at last all that have different roots.
+def similar_links(sets: DataFrame, scope: Scope, similarity: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
+    """Roots (u, v) of the nodes linked by sets at least ``similarity`` alike; sets has each node once, with its fingerprint and hashes.
+
+    Candidates come from the pigeonhole blocks of fingerprints first. Fingerprints of sets that
+    are just ``similarity`` alike share no block often enough, so pairs that share one of the
+    rarest shingles of both (prefixes) follow; those miss no pair. Every pair is verified by its
+    exact Jaccard similarity, and nodes that are connected already are not compared again.
     """
     keyed = prefixes(sets, similarity).repartition("key").sortWithinPartitions("key")
     shared = scope.write(keyed.mapInArrow(_shared, keyed.schema), "shared-keys")
@@ -349,15 +388,15 @@ def similar_links(sets: DataFrame, scope: Scope, similarity: float = SIMILARITY)
     few = named.count() <= FEW
     sets = scope.write(sets.join(F.broadcast(named) if few else named, "node", "left_semi"), "candidate-sets")
     links = roots = None
-    for star in [*range(1, STARS + 1), None]:
-        rows = shared.withColumn("root", F.col("node"))
-        if roots is not None:
+    for made in (None, _starred, _all_pairs):
+        if made is None:
+            pairs = _fingerprint_pairs(sets, scope, distance)
+        else:
             rows = shared.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
-            apart = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-            rows = rows.join(apart, "key", "left_semi")
-        rows = rows.select("key", "root", "node", "size", "place").repartition("key").sortWithinPartitions("key", "root")
-        pairs = scope.write(rows.mapInArrow(_pairs(similarity, star), "u long, v long").distinct(), "pairs")
-        found = scope.write(_alike(pairs, sets, similarity), "similar-links")
+            apart = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high").select("key", "n")
+            rows = scope.write(join_to_unique(rows, apart, "key", shared.count()).select("key", "root", "node", "size", "place"), "keys-apart")
+            pairs = made(rows, similarity)
+        found = scope.write(_alike(scope.write(pairs, "pairs"), sets, similarity), "similar-links")
         if roots is not None and found.isEmpty():
             continue
         links = found if roots is None else roots.union(found)
@@ -372,13 +411,13 @@ def similar_groups(docs: DataFrame, *, scope: Scope, similarity: float = SIMILAR
     """
     sets = scope.write(shingle_sets(docs, shingle=shingle, id_column=id_column, text_column=text_column), "shingle-sets")
     nodes = scope.write(sets.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.min("place").alias("place")), "nodes")
-    total = nodes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    n, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     first = nodes.select("place")
     again = scope.write(sets.select("place").join(first, "place", "left_anti"), "copies")
-    once = sets.join(F.broadcast(again) if again.count() <= FEW else again, "place", "left_anti").select("node", "hashes")
+    once = sets.join(F.broadcast(again) if again.count() <= FEW else again, "place", "left_anti").select("node", "fingerprint", "hashes")
     roots = similar_links(once, scope, similarity)
-    rooted = nodes.select("node", "n", "low").join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
-    named = rooted.join(rooted.groupBy("root").agg(F.min("low").alias("component_id")), "root").select("node", "n", "component_id")
+    rooted = nodes.select("node", F.col("n").alias("rows"), "low").join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = _lowest(rooted, n).select("node", F.col("rows").alias("n"), "component_id")
     return join_to_unique(sets.select("doc_id", "node"), named, "node", total).select("doc_id", "component_id")
 
 
@@ -392,7 +431,8 @@ def one_of_each(docs: DataFrame, *, scope: Scope, id_column: str = "doc_id", **o
     inner.drop()
     gone = groups.where(F.col("component_id") < F.col("doc_id")).select("doc_id").distinct()
     staying = groups.where(F.col("component_id") == F.col("doc_id")).select("doc_id")
-    gone = scope.write(gone.join(staying, "doc_id", "left_anti").select(F.col("doc_id").alias("_gone")), "gone")
+    key = unused("gone", docs)
+    gone = scope.write(gone.join(staying, "doc_id", "left_anti").withColumnRenamed("doc_id", key), "gone")
     if gone.count() <= FEW:
         gone = F.broadcast(gone)
-    return docs.join(gone, F.col(id_column) == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs[f"`{id_column}`"] == gone[key], "left_anti")

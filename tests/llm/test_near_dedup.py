@@ -69,7 +69,9 @@ def brute(rows):
     return [find(i) for i in range(len(rows))]
 
 
-def test_groups_equal_exact_similarities(spark, rows):
+@pytest.mark.parametrize("together", [simhash.TOGETHER, 5])
+def test_groups_equal_exact_similarities(spark, rows, together, monkeypatch):
+    monkeypatch.setattr(simhash, "TOGETHER", together)
     scope = Scope(spark)
     got = {r["doc_id"]: r["component_id"] for r in simhash.similar_groups(spark.createDataFrame(rows, SCHEMA).repartition(3), scope=scope).collect()}
     assert got == dict(enumerate(brute(rows)))

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 
@@ -28,8 +29,12 @@ def test_stages_keep_columns_and_take_effect(spark, tmp_path):
 def test_stages_take_odd_tables(spark, empty):
     rows = [(1, "a b c", "en", "s", 5, "x", 1.0, 2), (1, "a b c", "en", "s", 5, "x", 1.0, 2), (2, None, None, None, None, None, None, None), (None, "", None, "s", 0, None, None, None), (3, "w " * 30_000, "fr", "s", 60_000, "x", 0.0, 0)]
     docs = spark.createDataFrame([] if empty else rows, "doc_id long, text string, lang string, source string, n_chars long, score string, probability double, predicted int")
+    for name in ("my-col", "a, b", "a.b", "back`tick", "gone", "_gone", "_rest", "_kept", "_held", "_text", "cell"):
+        docs = docs.withColumn(name, F.lit(name))
     for i, (_, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, SF)
         if i < 4:
             assert out.columns == docs.columns
+            if not out.isEmpty():
+                assert out.select("`a, b`").first()[0] == "a, b"
         assert (out.count() > 0) != empty or i in (0, 3)
