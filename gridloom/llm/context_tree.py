@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .exchange import CELL_ARROW, CELLS, block_ids, cells
 from .kernels import LOWER, bucket_of, chunks, crc32_mod, distinct, mix, ragged, span_hashes, text_buffer, word_spans
-from .shared import Scope, id_array, long_ids, pack, session_scope, ship, shuffle_partitions, unpack
+from .shared import Scope, id_array, labels, long_ids, pack, session_scope, ship, shuffle_partitions, unpack
 
 DEPTH = 5
 END = 0xFF  # in no UTF-8 text
@@ -86,6 +86,7 @@ def shard_of(codes: np.ndarray, buckets: int, depth: int = DEPTH) -> np.ndarray:
 
 def stage(docs: DataFrame, id_column: str, text_column: str, buckets: int, block_bytes: int, folds: int, held_out: int) -> DataFrame:
     ship(docs.sparkSession)
+    label = labels(buckets).tolist()
 
     def run(batches):
         ids, held, size = block_ids(), [], 0
@@ -121,7 +122,7 @@ def stage(docs: DataFrame, id_column: str, text_column: str, buckets: int, block
             own, w = slice(edge[k], edge[k + 1]), slice(word_edge[k], word_edge[k + 1])
             if own.stop > own.start or w.stop > w.start:
                 payloads.append(pack(squeeze_keys(codes[own]), n[own].astype(np.uint32), squeeze_keys(names[w]), c[w].astype(np.uint32), squeeze=True))
-                used.append(k)
+                used.append(label[k])
         return cells(block_id, used, payloads)
 
     return docs.select(id_column, text_column).mapInArrow(run, CELLS)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 
 from .kernels import bucket_of, chunks, distinct, ragged, span_hashes, text_buffer
 from .pretoken import pieces
-from .shared import id_array, long_ids, pack, ship, unpack
+from .shared import id_array, labels, long_ids, pack, ship, unpack
 
 CELLS = "block long, bucket int, payload binary"
 CELL_ARROW = pa.schema([("block", pa.int64()), ("bucket", pa.int32()), ("payload", pa.binary())])
@@ -27,6 +27,7 @@ KERNEL_BYTES = 1 << 20
 
 
 def cells(block: int, buckets, payloads) -> pa.RecordBatch:
+    """A block's cells; buckets are labels, or negative for what stays with the block."""
     return pa.RecordBatch.from_arrays([pa.array([block] * len(payloads), pa.int64()), pa.array(buckets, pa.int32()), pa.array(payloads, pa.binary())], schema=CELL_ARROW)
 
 
@@ -47,6 +48,7 @@ def block_ids() -> Iterator[int]:
 def stage(docs: DataFrame, id_column: str, text_column: str, path: str, buckets: int, block_bytes: int, payload: Callable) -> DataFrame:
     """Blocks of documents as cells: bucket -1 holds what ``payload`` makes of the documents, the others distinct pre-tokens in order of their hashes."""
     ship(docs.sparkSession)
+    label = labels(buckets).tolist()
 
     def run(batches):
         ids = block_ids()
@@ -82,7 +84,7 @@ def stage(docs: DataFrame, id_column: str, text_column: str, path: str, buckets:
             a, b = bounds[k], bounds[k + 1]
             if a < b:
                 payloads.append(pack(narrow(sizes[a:b]), data[ragged(starts[a:b], sizes[a:b])], squeeze=True))
-                used.append(k)
+                used.append(label[k])
         return cells(block_id, used, payloads)
 
     return docs.select(id_column, text_column).mapInArrow(run, CELLS)

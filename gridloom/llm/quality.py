@@ -25,7 +25,7 @@ FILTERS, SPAN, EMBED, HIDDEN, CHUNK = 24, 6, 8, 24, 256  # SPAN is even, CHUNK a
 PER_LABEL, LONGEST, EPOCHS, BATCH, RATE = 700, 16_384, 10, 32, 0.01
 HALF = CHUNK // 2
 ROWS = "doc_id long, held_out boolean, score double, predicted int"
-#: Clean training texts also serve as crops of this many bytes, so that short texts are known.
+#: Training texts of both classes also serve as crops of this many bytes, so that short texts are known and length tells no class.
 CROPS = (12, 160)
 #: Places that are convolved at a time, and bytes of documents that share a pass.
 PART, PASS = 1 << 15, 1 << 19
@@ -161,10 +161,9 @@ def train(texts: list[bytes], label: np.ndarray, seed: int = 3, epochs: int = EP
     rng = np.random.default_rng(seed)
     net = Network(rng)
     texts, label = list(texts), list(label)
-    for t in [t for t, y in zip(texts, label, strict=True) if y > 0]:
-        crop = t[: int(rng.integers(*CROPS))] if rng.random() < 0.5 else t[-int(rng.integers(*CROPS)) :]
-        texts.append(crop)
-        label.append(1)
+    for t, y in list(zip(texts, label, strict=True)):
+        texts.append(t[: int(rng.integers(*CROPS))] if rng.random() < 0.5 else t[-int(rng.integers(*CROPS)) :])
+        label.append(y)
     label = np.array(label, np.float32)
     share = label.mean()
     weight = np.where(label > 0, 0.5 / share, 0.5 / (1 - share))

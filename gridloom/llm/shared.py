@@ -38,6 +38,29 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
+def _spark_hash(x: np.ndarray) -> np.ndarray:
+    """Spark's hash of an int column: 32-bit Murmur3 of four bytes with seed 42 (public algorithm; its constants are fixed values)."""
+    u = np.uint32
+    turn = lambda v, r: (v << u(r)) | (v >> u(32 - r))
+    h = turn(u(42) ^ (turn(x.astype(u) * u(0xCC9E2D51), 15) * u(0x1B873593)), 13) * u(5) + u(0xE6546B64)
+    h = (h ^ u(4)) ^ ((h ^ u(4)) >> u(16))
+    h = h * u(0x85EBCA6B)
+    h = (h ^ (h >> u(13))) * u(0xC2B2AE35)
+    return (h ^ (h >> u(16))).view(np.int32).astype(np.int64)
+
+
+def labels(n: int) -> np.ndarray:
+    """n ascending non-negative ints that Spark's hash deals to n partitions, one to each."""
+    found, at = np.full(n, -1), 0
+    while (found < 0).any():
+        x = np.arange(at, at + 4 * n + 64, dtype=np.int64)
+        part = _spark_hash(x) % n
+        new = np.flatnonzero(found[part] < 0)[::-1]
+        found[part[new]] = x[new]
+        at += len(x)
+    return np.sort(found)
+
+
 def pack(*arrays: np.ndarray, squeeze: bool = False) -> bytes:
     """Arrays as one binary value: count, then type, length and bytes of each."""
     parts = [struct.pack("<I", len(arrays))]

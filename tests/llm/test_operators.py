@@ -11,9 +11,11 @@ import numpy as np
 import public_tokenizers
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from gridloom.llm import bitsliced, context_tree, language_id, media, mixing, packing, quality, queries, simhash, substrings, token_counts
+from gridloom.llm.shared import labels
 
 from ..compare import connect, same
 
@@ -330,6 +332,45 @@ def test_quality_scores_do_not_depend_on_neighbours():
     assert half == pytest.approx(np.stack([direct[:128].max(0), direct[128:].max(0)]), abs=1e-4)
 
 
+def first_places(texts, words):
+    """The index: each 13-word phrase at its smallest id and first position there."""
+    index = {}
+    for (i, _), w in zip(texts, words, strict=True):
+        for s in range(len(w) - 12):
+            here = (NULL_ID if i is None else i, s)
+            key = tuple(w[s : s + 13])
+            index[key] = min(index.get(key, here), here)
+    return index
+
+
+NULL_ID = 2**63 - 1
+
+
+def greedy_factors(i, w, index):
+    """Word by word: the next phrase that reaches beyond the last factor's end and is in a smaller id begins a factor, which follows its place."""
+    own, out, end, s = NULL_ID if i is None else i, [], 0, 0
+    while s + 13 <= len(w):
+        source, at = index[tuple(w[s : s + 13])]
+        if source >= own:
+            s += 1
+            continue
+        n = 13
+        while s + n < len(w) and index[tuple(w[s + n - 12 : s + n + 1])] == (source, at + n - 12):
+            n += 1
+        first = max(s, end)
+        out.append((first, s + n, source, at + first - s))
+        s, end = s + n - 12, s + n
+    return out
+
+
+def test_labels_spread(spark):
+    for n in (1, 2, 7, 50, 211):
+        label = labels(n)
+        assert (np.diff(label) > 0).all()
+        df = spark.createDataFrame([(int(x),) for x in label], "bucket int")
+        assert sorted(r[0] for r in df.select(F.pmod(F.hash("bucket"), F.lit(n))).collect()) == list(range(n))
+
+
 def test_substring_dedup(docs, texts, empty):
     words = [re.findall(r"[^\x20\x09-\x0d]+", x or "") for _, x in texts]
     least = {}
@@ -350,6 +391,7 @@ def test_substring_dedup(docs, texts, empty):
     assert keyed((r["doc_id"], (r["n_words"], r["n_removed"], r["kept_sha256"], r["text"])) for r in got) == keyed(expected)
     assert {(r["score"], r["block"], r["n"]) for r in got} == {(0.5, 1, 4)}
     assert sum(s["after"] - s["first"] for r in got for s in r["removed_spans"]) == sum(r["n_removed"] for r in got)
+    assert keyed((r["doc_id"], [tuple(s) for s in r["removed_spans"]]) for r in got) == keyed((i, greedy_factors(i, w, first_places(texts, words))) for (i, _), w in zip(texts, words, strict=True))
     assert substrings.without_repeats(empty).count() == 0
 
 
