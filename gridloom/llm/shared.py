@@ -14,7 +14,7 @@ from ..tables import Scope, session_scope, shared_dir
 from .kernels import lean
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-ZSTD = pa.Codec("zstd", compression_level=1)
+ZSTD = pa.Codec("zstd", compression_level=3)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
