@@ -21,6 +21,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows, of some tens of bytes, that are broadcast whole.
+FEW_ROWS = 200_000
 ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -116,8 +118,11 @@ def crc_mod(column: str, modulus: int):
 def join_to_unique(rows: DataFrame, unique: DataFrame, key: str, total: int, share: int = 1000) -> DataFrame:
     """Inner join of rows with a table that has each key once, with the number ``n`` of rows that have it.
 
-    Keys with over total/share of the rows, at most ``share`` of them, are broadcast; so no task gets a hot key's rows.
+    Of few rows, all keys are broadcast. Else keys with over total/share of the rows, at most
+    ``share`` of them, are; so no task gets a hot key's rows.
     """
+    if total <= FEW_ROWS:
+        return rows.join(F.broadcast(unique.drop("n")), key)
     hot = F.col("n") * share > total
     values = [c for c in unique.columns if c not in (key, "n")]
     few = F.broadcast(unique.where(hot).select(key, *values))

@@ -19,6 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..tables import free
 from .components import components
 from .kernels import LOWER, chunks, mix, ragged, text_buffer, word_spans, xxh64
 from .shared import Scope, id_array, join_to_unique, long_ids, session_scope, ship, unused
@@ -203,6 +204,9 @@ SAMPLED, FREQUENT = 16, 200_000
 TOGETHER = 4096
 #: Pairs that a task makes at a time.
 PAIRS = 1 << 20
+#: Classes of hashes whose counts bound what two sets can share.
+CLASSES = 256
+SUMMARY = "doc_id long, place long, node long, fingerprint long, size int, counts binary, prefix array<long>"
 
 
 def _once(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,61 +218,71 @@ def _once(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return h[new], np.append(0, np.cumsum(np.bincount(d[new], minlength=len(first) - 1)))
 
 
-def shingle_sets(docs: DataFrame, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, place (a number of its own for each row), node (a hash of the set), fingerprint and hashes (of its distinct shingles)."""
+def _over_sets(docs: DataFrame, make, schema: str, shingle: int, id_column: str, text_column: str) -> DataFrame:
+    """What make(ids, null, hashes, first) gives for the documents' sets of distinct shingle hashes, in ascending order."""
     ship(docs.sparkSession)
 
     def run(batches):
-        place = TaskContext.get().partitionId() << 40
         for batch in batches:
             buf, offsets = text_buffer(batch.column(1))
             ids, null = long_ids(batch.column(0))
             for a, b in chunks(offsets, 1 << 20):
                 joined, begin, stop, first = shingle_spans(LOWER[buf[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a], shingle)
-                h, first = _once(xxh64(joined, begin, stop, SEED), first)
-                node = xxh64(h.view(np.uint8), first[:-1] * 8, first[1:] * 8, SEED).view(np.int64)
-                sets = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([id_array(ids[a:b], null[a:b]), pa.array(np.arange(place, place + b - a)), pa.array(node), pa.array(fingerprint(h, first).view(np.int64)), sets], names=["doc_id", "place", "node", "fingerprint", "hashes"])
-                place += b - a
+                yield make(ids[a:b], null[a:b], *_once(xxh64(joined, begin, stop, SEED), first))
+
+    return docs.select(id_column, text_column).mapInArrow(run, schema)
+
 
-    return docs.select(id_column, text_column).mapInArrow(run, "doc_id long, place long, node long, fingerprint long, hashes array<long>")
+def _node(h: np.ndarray, first: np.ndarray) -> pa.Array:
+    """A hash of each set."""
+    return pa.array(xxh64(h.view(np.uint8), first[:-1] * 8, first[1:] * 8, SEED).view(np.int64))
 
 
-def _frequent(sets: DataFrame) -> np.ndarray:
+def shingle_sets(docs: DataFrame, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """node (a hash of the set) and hashes (of its distinct shingles)."""
+
+    def make(ids, null, h, first):
+        return pa.RecordBatch.from_arrays([_node(h, first), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))], names=["node", "hashes"])
+
+    return _over_sets(docs, make, "node long, hashes array<long>", shingle, id_column, text_column)
+
+
+def _frequent(docs: DataFrame, shingle: int, id_column: str, text_column: str) -> np.ndarray:
     """Shingles that a sample shows to be frequent, the most frequent last; they only order the shingles, any order is exact."""
-    sample = sets.where(F.pmod(F.xxhash64("node"), F.lit(SAMPLED)) == 0).select(F.explode("hashes").alias("key"))
-    counts = sample.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "key").limit(FREQUENT)
+    sample = docs.where(F.pmod(F.xxhash64(id_column), F.lit(SAMPLED)) == 0)
+    keys = _over_sets(sample, lambda ids, null, h, first: pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["key"]), "key long", shingle, id_column, text_column)
+    counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "key").limit(FREQUENT)
     return np.array([r[0] for r in counts.collect()][::-1], np.int64)  # at most FREQUENT
 
 
-def prefixes(sets: DataFrame, similarity: float) -> DataFrame:
-    """key, node, size and place of the rarest shingles of each set: two sets that are ``similarity`` alike share one of these."""
-    frequent = _frequent(sets)
+def summaries(docs: DataFrame, similarity: float, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """doc_id, place (a number of its own for each row), node, fingerprint, size, counts (of hashes by class) and prefix of each set.
+
+    prefix has the rarest shingles, the rarest first: two sets that are ``similarity`` alike share one of these.
+    """
+    frequent = _frequent(docs, shingle, id_column, text_column)
     by_hash = np.argsort(frequent)
-    sent = sets.sparkSession.sparkContext.broadcast((frequent[by_hash], by_hash + 1))
+    sent = docs.sparkSession.sparkContext.broadcast((frequent[by_hash], by_hash + 1))
+    state = {}
 
-    def run(batches):
+    def make(ids, null, h, first):
         known, ranks = sent.value
-        for batch in batches:
-            column = batch.column(1)
-            h, first = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy(zero_copy_only=False).astype(np.int64)
-            first = first - first[0]
-            size = np.diff(first)
-            rank = np.zeros(len(h), np.int64)
-            if len(known) and len(h):
-                at = np.minimum(np.searchsorted(known, h), len(known) - 1)
-                rank = np.where(known[at] == h, ranks[at], 0)
-            doc = np.repeat(np.arange(len(size)), size)
-            h = h[np.argsort(doc * (len(known) + 1) + rank, kind="stable")]
-            count = np.where(size > 0, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
-            own = np.repeat(np.arange(len(size)), count)
-            at = ragged(first[:-1], count)
-            node = batch.column(0).to_numpy(zero_copy_only=False)
-            for a in range(0, len(at), PAIRS):
-                o, x = own[a : a + PAIRS], at[a : a + PAIRS]
-                yield pa.RecordBatch.from_arrays([pa.array(h[x]), pa.array(node[o]), pa.array(size[o].astype(np.int32)), pa.array((x - first[o]).astype(np.int32))], names=["key", "node", "size", "place"])
-
-    return sets.select("node", "hashes").mapInArrow(run, "key long, node long, size int, place int")
+        task = TaskContext.get().partitionId()
+        at = state.get(task, task << 40)
+        state[task] = at + len(ids)
+        size, signed = np.diff(first), h.view(np.int64)
+        rank = np.zeros(len(h), np.int64)
+        if len(known) and len(h):
+            found = np.minimum(np.searchsorted(known, signed), len(known) - 1)
+            rank = np.where(known[found] == signed, ranks[found], 0)
+        doc = np.repeat(np.arange(len(size)), size)
+        ordered = signed[np.argsort(doc * (len(known) + 1) + rank, kind="stable")]
+        count = np.where(size > 0, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
+        prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(ordered[ragged(first[:-1], count)]))
+        classes = np.bincount(doc * CLASSES + (h >> np.uint64(56)).astype(np.int64), minlength=len(size) * CLASSES).astype(np.uint32).reshape(-1, CLASSES)
+        return pa.RecordBatch.from_arrays([id_array(ids, null), pa.array(np.arange(at, at + len(ids))), _node(h, first), pa.array(fingerprint(h, first).view(np.int64)), pa.array(size.astype(np.int32)), pa.array([c.tobytes() for c in classes], pa.binary()), prefix], names=["doc_id", "place", "node", "fingerprint", "size", "counts", "prefix"])
+
+    return _over_sets(docs, make, SUMMARY, shingle, id_column, text_column)
 
 
 def _whole_keys(batches):
@@ -355,16 +369,37 @@ def _all_pairs(shared: DataFrame, similarity: float, together: int | None = None
     return rows.mapInArrow(_pairs(similarity), "u long, v long").distinct()
 
 
-def _alike(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sets have at least that Jaccard similarity."""
+def _possible(pairs: DataFrame, once: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sizes and counts by class leave room for that similarity; what two sets share is at most the sum of the lesser counts."""
+    of = lambda name: once.select(F.col("node").alias(name), F.struct("size", "counts").alias(f"{name}_"))
+    both = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "u_.*", F.col("v_.size").alias("size_v"), F.col("v_.counts").alias("counts_v"))
+
+    def run(batches):
+        for batch in batches:
+            size, other = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 4))
+            mine, its = (text_buffer(batch.column(i))[0].view(np.uint32).reshape(-1, CLASSES) for i in (3, 5))
+            may = np.minimum(mine, its).sum(axis=1, dtype=np.int64) >= similarity / (1 + similarity) * (size + other) - 1e-9
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(may)) for i in (0, 1)], names=["u", "v"])
+
+    return both.mapInArrow(run, "u long, v long")
+
+
+def _alike(pairs: DataFrame, once: DataFrame, sets_of, scope: Scope, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sets have at least that Jaccard similarity; sets_of(ids) gives the sets of documents with these ids, and maybe others."""
+    used = scope.write(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "used")
+    few = used.count() <= FEW
+    small = F.broadcast if few else lambda rows: rows
+    ids = scope.write(once.join(small(used), "node", "left_semi").select("doc_id").distinct(), "used-ids")
+    sets = sets_of(small(ids)).join(small(used), "node", "left_semi")
+    sets = scope.write(sets.groupBy("node").agg(F.first("hashes").alias("hashes")), "sets")
     of = lambda name, to: sets.select(F.col("node").alias(name), F.col("hashes").alias(to))
     both = F.size(F.array_intersect("a", "b"))
     return pairs.join(of("u", "a"), "u").join(of("v", "b"), "v").where(both / (F.size("a") + F.size("b") - both) >= similarity).select("u", "v")
 
 
-def _fingerprint_pairs(sets: DataFrame, scope: Scope, distance: int) -> DataFrame:
+def _fingerprint_pairs(once: DataFrame, scope: Scope, distance: int) -> DataFrame:
     """Pairs (u, v) of nodes whose fingerprints are equal or linked by pigeonhole blocks, each node with one other of its fingerprint."""
-    nodes = sets.select("node", "fingerprint")
+    nodes = once.select("node", "fingerprint")
     unique = scope.write(nodes.groupBy("fingerprint").agg(F.count("*").alias("n"), F.min("node").alias("first")), "distinct-fingerprints")
     n, total = unique.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     same = join_to_unique(nodes, unique.where("n > 1"), "fingerprint", total).where("node <> first").select("first", "node")
@@ -374,33 +409,35 @@ def _fingerprint_pairs(sets: DataFrame, scope: Scope, distance: int) -> DataFram
     return same.union(near).select(F.least(*same.columns).alias("u"), F.greatest(*same.columns).alias("v")).distinct()
 
 
-def similar_links(sets: DataFrame, scope: Scope, similarity: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
-    """Roots (u, v) of the nodes linked by sets at least ``similarity`` alike; sets has each node once, with its fingerprint and hashes.
+def similar_links(once: DataFrame, sets_of, scope: Scope, similarity: float = SIMILARITY, distance: int = DISTANCE) -> DataFrame:
+    """Roots (u, v) of the nodes linked by sets at least ``similarity`` alike; once has the summary of each node once.
 
     Candidates come from the pigeonhole blocks of fingerprints first. Fingerprints of sets that
     are just ``similarity`` alike share no block often enough, so pairs that share one of the
-    rarest shingles of both (prefixes) follow; those miss no pair. Every pair is verified by its
-    exact Jaccard similarity, and nodes that are connected already are not compared again.
+    rarest shingles of both (prefixes) follow; those miss no pair. What counts by class cannot
+    rule out is verified by the exact Jaccard similarity of the sets (sets_of, made from the
+    texts anew), and nodes that are connected already are not compared again.
     """
-    keyed = prefixes(sets, similarity).repartition("key").sortWithinPartitions("key")
+    keyed = once.select("node", "size", F.posexplode("prefix").alias("place", "key")).select("key", "node", "size", "place")
+    keyed = keyed.repartition("key").sortWithinPartitions("key")
     shared = scope.write(keyed.mapInArrow(_shared, keyed.schema), "shared-keys")
-    named = scope.write(shared.select("node").distinct(), "candidates")
-    few = named.count() <= FEW
-    sets = scope.write(sets.join(F.broadcast(named) if few else named, "node", "left_semi"), "candidate-sets")
+    total = shared.count()
     links = roots = None
     for made in (None, _starred, _all_pairs):
         if made is None:
-            pairs = _fingerprint_pairs(sets, scope, distance)
+            pairs = _fingerprint_pairs(once, scope, distance)
         else:
             rows = shared.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
             apart = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high").select("key", "n")
-            rows = scope.write(join_to_unique(rows, apart, "key", shared.count()).select("key", "root", "node", "size", "place"), "keys-apart")
+            rows = scope.write(join_to_unique(rows, apart, "key", total).select("key", "root", "node", "size", "place"), "keys-apart")
             pairs = made(rows, similarity)
-        found = scope.write(_alike(scope.write(pairs, "pairs"), sets, similarity), "similar-links")
+        pairs = scope.write(_possible(scope.write(pairs, "pairs"), once, similarity), "possible-pairs")
+        found = scope.write(_alike(pairs, once, sets_of, scope, similarity), "similar-links")
         if roots is not None and found.isEmpty():
             continue
         links = found if roots is None else roots.union(found)
         roots = components(links, scope)
+        free(scope.spark)
     return roots
 
 
@@ -409,16 +446,21 @@ def similar_groups(docs: DataFrame, *, scope: Scope, similarity: float = SIMILAR
 
     Texts shorter than a shingle are one shingle; those without words are alike.
     """
-    sets = scope.write(shingle_sets(docs, shingle=shingle, id_column=id_column, text_column=text_column), "shingle-sets")
-    nodes = scope.write(sets.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.min("place").alias("place")), "nodes")
+    columns = {"shingle": shingle, "id_column": id_column, "text_column": text_column}
+    made = scope.write(summaries(docs, similarity, **columns), "summaries")
+    nodes = scope.write(made.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.min("place").alias("place")), "nodes")
     n, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    first = nodes.select("place")
-    again = scope.write(sets.select("place").join(first, "place", "left_anti"), "copies")
-    once = sets.join(F.broadcast(again) if again.count() <= FEW else again, "place", "left_anti").select("node", "fingerprint", "hashes")
-    roots = similar_links(once, scope, similarity)
+    again = scope.write(made.select("place").join(nodes.select("place"), "place", "left_anti"), "copies")
+    once = made.join(F.broadcast(again) if again.count() <= FEW else again, "place", "left_anti")
+
+    def sets_of(ids):
+        own = docs.select(F.col(id_column).cast("long").alias("doc_id"), F.col(text_column).alias("text"))
+        return shingle_sets(own.join(ids, own["doc_id"].eqNullSafe(ids["doc_id"]), "left_semi"), shingle=shingle)
+
+    roots = similar_links(once, sets_of, scope, similarity)
     rooted = nodes.select("node", F.col("n").alias("rows"), "low").join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
     named = _lowest(rooted, n).select("node", F.col("rows").alias("n"), "component_id")
-    return join_to_unique(sets.select("doc_id", "node"), named, "node", total).select("doc_id", "component_id")
+    return join_to_unique(made.select("doc_id", "node"), named, "node", total).select("doc_id", "component_id")
 
 
 def one_of_each(docs: DataFrame, *, scope: Scope, id_column: str = "doc_id", **options) -> DataFrame:

@@ -14,7 +14,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from gridloom.llm import bitsliced, context_tree, language_id, media, mixing, packing, quality, queries, simhash, substrings, token_counts
+from gridloom.llm import bitsliced, context_tree, language_id, media, mixing, packing, quality, queries, shared, simhash, substrings, token_counts
 from gridloom.llm.shared import labels
 
 from ..compare import connect, same
@@ -190,7 +190,9 @@ def brute_fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h)) if h else 0
 
 
-def test_near_duplicates(docs, texts, empty):
+@pytest.mark.parametrize("few", [shared.FEW_ROWS, 0])
+def test_near_duplicates(docs, texts, empty, few, monkeypatch):
+    monkeypatch.setattr(shared, "FEW_ROWS", few)
     prints = [brute_fingerprint(x) for _, x in texts]
     parent = list(range(len(texts)))
 
