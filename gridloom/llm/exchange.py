@@ -34,7 +34,7 @@ def cells(block: int, buckets, payloads) -> pa.RecordBatch:
 def narrow(values: np.ndarray) -> np.ndarray:
     """Non-negative values in the smallest unsigned type that holds them."""
     most = int(values.max()) if len(values) else 0
-    return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32)
+    return values.astype(np.uint8 if most < 1 << 8 else np.uint16 if most < 1 << 16 else np.uint32 if most < 1 << 32 else np.uint64)
 
 
 def block_ids() -> Iterator[int]:
@@ -121,6 +121,22 @@ def answer(staged: DataFrame, path: str, value: Callable) -> DataFrame:
     return staged.where("bucket >= 0").groupBy("bucket").applyInArrow(run, CELLS)
 
 
+def replies(staged: DataFrame, reply: Callable) -> DataFrame:
+    """One cell for each cell: ``reply`` makes the payloads of a bucket's answers from all of its unpacked cells."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = reply([unpack(x, squeezed=True) for x in table.column("payload").to_pylist()])
+        return pa.Table.from_arrays([table.column("block"), table.column("bucket"), pa.array(out, pa.binary())], schema=CELL_ARROW)
+
+    return staged.where("bucket >= 0").groupBy("bucket").applyInArrow(run, CELLS)
+
+
+def in_order(found: pa.Table) -> list[list[np.ndarray]]:
+    """A block's answers in the order of its buckets."""
+    payloads = found.column("payload").to_pylist()
+    return [unpack(payloads[i], squeezed=True) for i in np.argsort(found.column("bucket").to_numpy()).tolist()]
+
+
 def settle(staged: DataFrame, answers: DataFrame, finish: Callable, schema: str, arrow: pa.Schema) -> DataFrame:
     """Each block's documents with its answers: ``finish(payload, sizes, values)`` gives arrays of rows."""
 
@@ -136,4 +152,4 @@ def settle(staged: DataFrame, answers: DataFrame, finish: Callable, schema: str,
     return staged.where("bucket = -1").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, schema)
 
 
-__all__ = ["answer", "cells", "id_array", "settle", "stage"]
+__all__ = ["answer", "cells", "id_array", "in_order", "replies", "settle", "stage"]

@@ -15,14 +15,14 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..tables import free
 from .components import components
-from .kernels import LOWER, chunks, mix, ragged, text_buffer, word_spans, xxh64
-from .shared import Scope, id_array, join_to_unique, long_ids, session_scope, ship, unused
+from .exchange import CELLS, block_ids, cells, in_order, narrow, replies
+from .kernels import LOWER, bucket_of, chunks, distinct, ragged, text_buffer, word_spans, xxh64
+from .shared import Scope, id_array, join_to_unique, labels, long_ids, pack, session_scope, ship, shuffle_partitions, unpack, unused
 
 WORDS, SEED, DISTANCE = 4, 42, 4
 #: Members of a key that one step verifies.
@@ -198,15 +198,20 @@ def near_duplicates(docs: DataFrame, *, scope: Scope | None = None, distance: in
 SHINGLE, SIMILARITY = 5, 0.8
 #: Ids (8 bytes each) that are broadcast rather than joined by a shuffle of the texts.
 FEW = 2_000_000
-#: One document in so many is looked at for frequent shingles, and as many of those are ordered last.
-SAMPLED, FREQUENT = 16, 200_000
+#: Bits of a shingle's hash by which documents that have it are counted; the counts only order shingles.
+KEY_BITS = 44
 #: Rows of a key that one task compares with each other; a key with more is cut into chunks, and all pairs of chunks are compared.
 TOGETHER = 4096
+#: Rounds that compare each key's nodes with one of them only, before all pairs that are still apart.
+STARS = 2
 #: Pairs that a task makes at a time.
 PAIRS = 1 << 20
-#: Classes of hashes whose counts bound what two sets can share.
+#: Pairs whose counts are compared at a time.
+ROOM = 1 << 14
+#: Classes of hashes whose counts (a byte each; none for a set that has one over 255) bound what two sets can share.
 CLASSES = 256
-SUMMARY = "doc_id long, place long, node long, fingerprint long, size int, counts binary, prefix array<long>"
+SUMMARY = "doc_id long, place long, node long, fingerprint long, size int, counts binary, skip int, prefix array<long>"
+SUMMARY_NAMES = [x.split()[0] for x in SUMMARY.split(", ")]
 
 
 def _once(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -218,19 +223,16 @@ def _once(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return h[new], np.append(0, np.cumsum(np.bincount(d[new], minlength=len(first) - 1)))
 
 
-def _over_sets(docs: DataFrame, make, schema: str, shingle: int, id_column: str, text_column: str) -> DataFrame:
-    """What make(ids, null, hashes, first) gives for the documents' sets of distinct shingle hashes, in ascending order."""
-    ship(docs.sparkSession)
-
-    def run(batches):
-        for batch in batches:
-            buf, offsets = text_buffer(batch.column(1))
-            ids, null = long_ids(batch.column(0))
-            for a, b in chunks(offsets, 1 << 20):
-                joined, begin, stop, first = shingle_spans(LOWER[buf[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a], shingle)
-                yield make(ids[a:b], null[a:b], *_once(xxh64(joined, begin, stop, SEED), first))
-
-    return docs.select(id_column, text_column).mapInArrow(run, schema)
+def _sets(buf: np.ndarray, offsets: np.ndarray, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each document's distinct shingle hashes, ascending, and its first one."""
+    hashed, firsts, at = [np.zeros(0, np.uint64)], [], 0
+    for a, b in chunks(offsets, 1 << 20):
+        joined, begin, stop, first = shingle_spans(LOWER[buf[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a], shingle)
+        h, first = _once(xxh64(joined, begin, stop, SEED), first)
+        hashed.append(h)
+        firsts.append(first[:-1] + at)
+        at += len(h)
+    return np.concatenate(hashed), np.append(np.concatenate(firsts) if firsts else np.zeros(0, np.int64), at)
 
 
 def _node(h: np.ndarray, first: np.ndarray) -> pa.Array:
@@ -240,59 +242,97 @@ def _node(h: np.ndarray, first: np.ndarray) -> pa.Array:
 
 def shingle_sets(docs: DataFrame, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """node (a hash of the set) and hashes (of its distinct shingles)."""
+    ship(docs.sparkSession)
 
-    def make(ids, null, h, first):
-        return pa.RecordBatch.from_arrays([_node(h, first), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))], names=["node", "hashes"])
-
-    return _over_sets(docs, make, "node long, hashes array<long>", shingle, id_column, text_column)
-
+    def run(batches):
+        for batch in batches:
+            buf, offsets = text_buffer(batch.column(0))
+            for a, b in chunks(offsets, 1 << 20):
+                h, first = _sets(buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], shingle)
+                yield pa.RecordBatch.from_arrays([_node(h, first), pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))], names=["node", "hashes"])
 
-def _frequent(docs: DataFrame, shingle: int, id_column: str, text_column: str) -> np.ndarray:
-    """Shingles that a sample shows to be frequent, the most frequent last; they only order the shingles, any order is exact."""
-    sample = docs.where(F.pmod(F.xxhash64(id_column), F.lit(SAMPLED)) == 0)
-    keys = _over_sets(sample, lambda ids, null, h, first: pa.RecordBatch.from_arrays([pa.array(h.view(np.int64))], names=["key"]), "key long", shingle, id_column, text_column)
-    counts = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 2").orderBy(F.desc("n"), "key").limit(FREQUENT)
-    return np.array([r[0] for r in counts.collect()][::-1], np.int64)  # at most FREQUENT
+    return docs.select(text_column).mapInArrow(run, "node long, hashes array<long>")
 
 
-def summaries(docs: DataFrame, similarity: float, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """doc_id, place (a number of its own for each row), node, fingerprint, size, counts (of hashes by class) and prefix of each set.
+def _stage(docs: DataFrame, shingle: int, buckets: int, block_bytes: int) -> DataFrame:
+    """Blocks of documents (their id and text) as cells: bucket -1 holds the documents, the others distinct shingles and how many documents have them."""
+    label = labels(buckets).tolist()
 
-    prefix has the rarest shingles, the rarest first: two sets that are ``similarity`` alike share one of these.
+    def run(batches):
+        ids = block_ids()
+        for batch in batches:
+            buf, offsets = text_buffer(batch.column(1))
+            doc_ids, null = long_ids(batch.column(0))
+            for a, b in chunks(offsets, block_bytes):
+                part, own = buf[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
+                keys = np.sort(_sets(part, own, shingle)[0] >> np.uint64(64 - KEY_BITS))
+                edge = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))[: len(keys)]
+                n, keys = narrow(np.diff(np.append(edge, len(keys)))), keys[edge]
+                bounds = np.searchsorted(bucket_of(keys << np.uint64(64 - KEY_BITS), buckets), np.arange(buckets + 1))
+                used, payloads = [-1], [pack(doc_ids[a:b], null[a:b], own, part, squeeze=True)]
+                for k in range(buckets):
+                    of = slice(bounds[k], bounds[k + 1])
+                    if of.stop > of.start:
+                        used.append(label[k])
+                        payloads.append(pack(narrow(np.diff(keys[of], prepend=keys[of.start])), keys[of.start : of.start + 1], n[of], squeeze=True))
+                yield cells(next(ids), used, payloads)
+
+    return docs.mapInArrow(run, CELLS)
+
+
+def _rarity(parts) -> list[bytes]:
+    """For each shingle of each cell a class that rises with the documents that have it; 0: one document."""
+    _, _, index = distinct(np.concatenate([np.cumsum(p[0], dtype=np.uint64) + p[1][0] for p in parts]))
+    n = np.bincount(index, weights=np.concatenate([p[2] for p in parts]))
+    kind = np.minimum(8 * np.log2(np.maximum(n, 1)), 255).astype(np.uint8)[index]
+    ends = np.cumsum([len(p[0]) for p in parts]).tolist()
+    return [pack(kind[e - len(p[0]) : e], squeeze=True) for p, e in zip(parts, ends, strict=True)]
+
+
+def summaries(docs: DataFrame, scope: Scope, similarity: float, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text", buckets: int | None = None, block_bytes: int = 4 << 20) -> DataFrame:
+    """doc_id, place (a number of its own for each row), node, fingerprint, size, counts (of hashes by class), skip and prefix of each set.
+
+    The prefix is the rarest shingles of the set, the rarest first: two sets that are
+    ``similarity`` alike share one of these. Only those that another document has are in the
+    column prefix; ``skip`` others come before them.
     """
-    frequent = _frequent(docs, shingle, id_column, text_column)
-    by_hash = np.argsort(frequent)
-    sent = docs.sparkSession.sparkContext.broadcast((frequent[by_hash], by_hash + 1))
-    state = {}
-
-    def make(ids, null, h, first):
-        known, ranks = sent.value
-        task = TaskContext.get().partitionId()
-        at = state.get(task, task << 40)
-        state[task] = at + len(ids)
-        size, signed = np.diff(first), h.view(np.int64)
-        rank = np.zeros(len(h), np.int64)
-        if len(known) and len(h):
-            found = np.minimum(np.searchsorted(known, signed), len(known) - 1)
-            rank = np.where(known[found] == signed, ranks[found], 0)
-        doc = np.repeat(np.arange(len(size)), size)
-        ordered = signed[np.argsort(doc * (len(known) + 1) + rank, kind="stable")]
-        count = np.where(size > 0, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
-        prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count)).astype(np.int32)), pa.array(ordered[ragged(first[:-1], count)]))
-        classes = np.bincount(doc * CLASSES + (h >> np.uint64(56)).astype(np.int64), minlength=len(size) * CLASSES).astype(np.uint32).reshape(-1, CLASSES)
-        return pa.RecordBatch.from_arrays([id_array(ids, null), pa.array(np.arange(at, at + len(ids))), _node(h, first), pa.array(fingerprint(h, first).view(np.int64)), pa.array(size.astype(np.int32)), pa.array([c.tobytes() for c in classes], pa.binary()), prefix], names=["doc_id", "place", "node", "fingerprint", "size", "counts", "prefix"])
-
-    return _over_sets(docs, make, SUMMARY, shingle, id_column, text_column)
-
-
-def _whole_keys(batches):
+    ship(docs.sparkSession)
+    source = docs.select(F.col(id_column).cast("long"), text_column)
+    staged = scope.write(_stage(source, shingle, buckets or shuffle_partitions(docs.sparkSession), block_bytes), "shingle-cells")
+
+    def run(held: pa.Table, found: pa.Table) -> pa.Table:
+        kinds = np.concatenate([p[0] for p in in_order(found)] or [np.zeros(0, np.uint8)])
+        made = []
+        for block, payload in zip(held.column("block").to_pylist(), held.column("payload").to_pylist(), strict=True):
+            ids, null, offsets, buf = unpack(payload, squeezed=True)
+            h, first = _sets(buf, offsets, shingle)
+            size, signed = np.diff(first), h.view(np.int64)
+            doc = np.repeat(np.arange(len(size)), size)
+            keys = h >> np.uint64(64 - KEY_BITS)
+            kind = kinds[distinct(keys)[2]]
+            ordered = signed[np.argsort(doc * 256 + kind, kind="stable")]
+            count = np.where(size > 0, size - np.ceil(similarity * size - 1e-9).astype(np.int64) + 1, 0)
+            skip = np.minimum(np.bincount(doc, weights=kind == 0, minlength=len(size)).astype(np.int64), count)
+            prefix = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(count - skip)).astype(np.int32)), pa.array(ordered[ragged(first[:-1] + skip, count - skip)]))
+            classes = np.bincount(doc * CLASSES + (h >> np.uint64(56)).astype(np.int64), minlength=len(size) * CLASSES).reshape(-1, CLASSES)
+            small = (classes.max(axis=1, initial=0) <= 255).tolist()
+            classes = classes.astype(np.uint8)
+            place = ((block >> 32) << 44) + ((block & 0xFFFFFFFF) << 22) + np.arange(len(ids))
+            made.append(pa.Table.from_arrays([id_array(ids, null), pa.array(place), _node(h, first), pa.array(fingerprint(h, first).view(np.int64)), pa.array(size.astype(np.int32)), pa.array([c.tobytes() if few else b"" for c, few in zip(classes, small, strict=True)], pa.binary()), pa.array(skip.astype(np.int32)), prefix], names=SUMMARY_NAMES))
+        return pa.concat_tables(made)
+
+    answers = replies(staged, _rarity)
+    return staged.where("bucket = -1").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(run, SUMMARY)
+
+
+def _whole_keys(batches, read=lambda c: c.to_numpy(zero_copy_only=False)):
     """Columns of a partition that is sorted by its first one, with all rows of a key together."""
     held = None
     for batch in itertools.chain(batches, [None]):
         if batch is not None:
             if not batch.num_rows:
                 continue
-            now = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            now = [read(c) for c in batch.columns]
             held = now if held is None else [np.concatenate(x) for x in zip(held, now, strict=True)]
             cut = int(np.searchsorted(held[0], held[0][-1]))
         else:
@@ -310,15 +350,44 @@ def _shared(batches):
         yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in columns], names=["key", "node", "size", "place"])
 
 
+def _counts(column: pa.Array) -> np.ndarray:
+    """Counts by class of each row; a row without them has counts that leave all room."""
+    buf, offsets = text_buffer(column)
+    out = np.full((len(column), CLASSES), 255, np.uint8)
+    out[np.diff(offsets) > 0] = buf.reshape(-1, CLASSES)
+    return out
+
+
+def _room(mine: np.ndarray, its: np.ndarray, size: np.ndarray, other: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether pairs of sets can be that similar: what they share is at most the sum of the lesser counts. Sets without counts can."""
+    most = np.minimum(mine, its).sum(axis=1, dtype=np.int64)
+    return (most >= similarity / (1 + similarity) * (size + other) - 1e-9) | (mine.min(axis=1) == 255) | (its.min(axis=1) == 255)
+
+
+def _possible(pairs: DataFrame, once: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose sizes and counts by class leave room for that similarity."""
+    of = lambda name: once.select(F.col("node").alias(name), F.struct("size", "counts").alias(f"{name}_"))
+    both = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "u_.*", F.col("v_.size").alias("size_v"), F.col("v_.counts").alias("counts_v"))
+
+    def run(batches):
+        for batch in batches:
+            size, other = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 4))
+            may = pa.array(_room(_counts(batch.column(3)), _counts(batch.column(5)), size, other, similarity))
+            yield pa.RecordBatch.from_arrays([batch.column(i).filter(may) for i in (0, 1)], names=["u", "v"])
+
+    return both.mapInArrow(run, "u long, v long")
+
+
 def _pairs(similarity: float):
     """Pairs of a group's nodes of different roots that may be similar by their sizes and the key's places in them.
 
-    Rows are sorted by group and root: group, root, node, size, place and chunk. Of a group of
-    two chunks only pairs across them are made.
+    Rows are sorted by group and root: group, root, node, size, place, chunk and counts. Of a
+    group of two chunks only pairs across them are made; pairs without room are not.
     """
+    read = lambda c: _counts(c) if pa.types.is_binary(c.type) else c.to_numpy(zero_copy_only=False)
 
     def run(batches):
-        for group, root, node, size, place, chunk in _whole_keys(batches):
+        for group, root, node, size, place, chunk, counts in _whole_keys(batches, read):
             size, place = size.astype(np.int64), place.astype(np.int64)
             new = np.append(True, group[1:] != group[:-1])
             start = np.flatnonzero(new)
@@ -334,6 +403,8 @@ def _pairs(similarity: float):
                 a, b = np.repeat(np.arange(at, end), count[at:end]), ragged(begin[at:end], count[at:end])
                 need = similarity / (1 + similarity) * (size[a] + size[b]) - 1e-9
                 may = (np.minimum(size[a] - place[a], size[b] - place[b]) >= need) & (~two[own[a]] | (chunk[a] != chunk[b]))
+                a, b = a[may], b[may]
+                may = np.concatenate([np.zeros(0, bool)] + [_room(counts[x], counts[y], size[x], size[y], similarity) for x, y in zip(*(np.array_split(z, len(a) // ROOM + 1) for z in (a, b)), strict=True)])
                 u, v = np.minimum(node[a[may]], node[b[may]]), np.maximum(node[a[may]], node[b[may]])
                 order = np.lexsort((v, u))
                 u, v = u[order], v[order]
@@ -344,19 +415,26 @@ def _pairs(similarity: float):
     return run
 
 
-def _starred(shared: DataFrame, similarity: float) -> DataFrame:
-    """Distinct pairs (u, v) of each key's nodes with one of them, of different roots and similar enough by size and place."""
-    centre = F.min(F.struct(F.xxhash64("node"), "root", "node", "size", "place")).alias("c")
+def _starred(shared: DataFrame, similarity: float, turn: int) -> DataFrame:
+    """Distinct pairs (u, v) of each key's nodes with one of them, of different roots and similar enough by size and place.
+
+    Keys and turns draw their centres anew, so a node meets as many others as it has keys.
+    """
+    centre = F.min(F.struct(F.xxhash64("node", "key", F.lit(turn)), "root", "node", "size", "place")).alias("c")
     both = join_to_unique(shared, shared.groupBy("key").agg(centre, F.count("*").alias("n")).where("n > 1"), "key", shared.count())
     need = similarity / (1 + similarity) * (F.col("size") + F.col("c.size")) - 1e-9
     may = (F.col("root") != F.col("c.root")) & (F.least(F.col("size") - F.col("place"), F.col("c.size") - F.col("c.place")) >= need)
     return both.where(may).select(F.least("node", "c.node").alias("u"), F.greatest("node", "c.node").alias("v")).distinct()
 
 
-def _all_pairs(shared: DataFrame, similarity: float, together: int | None = None) -> DataFrame:
-    """Distinct pairs (u, v) of nodes of different roots that share a key and are similar enough by size and place."""
+def _all_pairs(shared: DataFrame, once: DataFrame, similarity: float, together: int | None = None) -> DataFrame:
+    """Distinct pairs (u, v) of nodes of different roots that share a key and are similar enough by size, place and counts.
+
+    A task makes them a part at a time and emits those that remain.
+    """
     together = together or TOGETHER
-    rows = shared.select(F.col("key").alias("group"), "root", "node", "size", "place", F.lit(0).alias("chunk"))
+    shared = shared.join(once.select("node", "counts"), "node")
+    rows = shared.select(F.col("key").alias("group"), "root", "node", "size", "place", F.lit(0).alias("chunk"), "counts")
     large = shared.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > together)
     if not large.isEmpty():
         cut = large.select("key", F.ceil(F.col("n") / together).cast("int").alias("cut"))
@@ -364,26 +442,11 @@ def _all_pairs(shared: DataFrame, similarity: float, together: int | None = None
         dealt = dealt.withColumn("chunk", F.pmod(F.xxhash64("node"), F.col("cut")).cast("int"))
         dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cut") - 1)))
         group = F.when(F.col("cut") == 1, F.col("key")).otherwise(F.xxhash64("key", F.least("chunk", "other"), F.greatest("chunk", "other")))
-        rows = dealt.select(group.alias("group"), "root", "node", "size", "place", "chunk")
+        rows = dealt.select(group.alias("group"), "root", "node", "size", "place", "chunk", "counts")
     rows = rows.repartition("group").sortWithinPartitions("group", "root")
     return rows.mapInArrow(_pairs(similarity), "u long, v long").distinct()
 
 
-def _possible(pairs: DataFrame, once: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose sizes and counts by class leave room for that similarity; what two sets share is at most the sum of the lesser counts."""
-    of = lambda name: once.select(F.col("node").alias(name), F.struct("size", "counts").alias(f"{name}_"))
-    both = pairs.join(of("u"), "u").join(of("v"), "v").select("u", "v", "u_.*", F.col("v_.size").alias("size_v"), F.col("v_.counts").alias("counts_v"))
-
-    def run(batches):
-        for batch in batches:
-            size, other = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (2, 4))
-            mine, its = (text_buffer(batch.column(i))[0].view(np.uint32).reshape(-1, CLASSES) for i in (3, 5))
-            may = np.minimum(mine, its).sum(axis=1, dtype=np.int64) >= similarity / (1 + similarity) * (size + other) - 1e-9
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(may)) for i in (0, 1)], names=["u", "v"])
-
-    return both.mapInArrow(run, "u long, v long")
-
-
 def _alike(pairs: DataFrame, once: DataFrame, sets_of, scope: Scope, similarity: float) -> DataFrame:
     """The pairs (u, v) whose sets have at least that Jaccard similarity; sets_of(ids) gives the sets of documents with these ids, and maybe others."""
     used = scope.write(pairs.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "used")
@@ -418,20 +481,20 @@ def similar_links(once: DataFrame, sets_of, scope: Scope, similarity: float = SI
     rule out is verified by the exact Jaccard similarity of the sets (sets_of, made from the
     texts anew), and nodes that are connected already are not compared again.
     """
-    keyed = once.select("node", "size", F.posexplode("prefix").alias("place", "key")).select("key", "node", "size", "place")
+    keyed = once.select("node", "size", "skip", F.posexplode("prefix").alias("place", "key")).select("key", "node", "size", (F.col("place") + F.col("skip")).alias("place"))
     keyed = keyed.repartition("key").sortWithinPartitions("key")
     shared = scope.write(keyed.mapInArrow(_shared, keyed.schema), "shared-keys")
     total = shared.count()
     links = roots = None
-    for made in (None, _starred, _all_pairs):
-        if made is None:
+    for turn in range(STARS + 2):
+        if turn == 0:
             pairs = _fingerprint_pairs(once, scope, distance)
         else:
             rows = shared.join(roots.select(F.col("u").alias("node"), F.col("v").alias("root")), "node", "left").withColumn("root", F.coalesce("root", "node"))
             apart = rows.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("n")).where("low < high").select("key", "n")
             rows = scope.write(join_to_unique(rows, apart, "key", total).select("key", "root", "node", "size", "place"), "keys-apart")
-            pairs = made(rows, similarity)
-        pairs = scope.write(_possible(scope.write(pairs, "pairs"), once, similarity), "possible-pairs")
+            pairs = _starred(rows, similarity, turn) if turn <= STARS else _all_pairs(rows, once, similarity)
+        pairs = scope.write(pairs if turn > STARS else _possible(pairs, once, similarity), "pairs")
         found = scope.write(_alike(pairs, once, sets_of, scope, similarity), "similar-links")
         if roots is not None and found.isEmpty():
             continue
@@ -447,7 +510,9 @@ def similar_groups(docs: DataFrame, *, scope: Scope, similarity: float = SIMILAR
     Texts shorter than a shingle are one shingle; those without words are alike.
     """
     columns = {"shingle": shingle, "id_column": id_column, "text_column": text_column}
-    made = scope.write(summaries(docs, similarity, **columns), "summaries")
+    inner = Scope(docs.sparkSession)
+    made = scope.write(summaries(docs, inner, similarity, **columns), "summaries")
+    inner.drop()
     nodes = scope.write(made.groupBy("node").agg(F.count("*").alias("n"), F.min("doc_id").alias("low"), F.min("place").alias("place")), "nodes")
     n, total = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     again = scope.write(made.select("place").join(nodes.select("place"), "place", "left_anti"), "copies")

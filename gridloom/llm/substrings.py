@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .exchange import CELL_ARROW, CELLS, KERNEL_BYTES, block_ids, cells
+from .exchange import CELL_ARROW, CELLS, KERNEL_BYTES, block_ids, cells, in_order, replies
 from .kernels import bucket_of, chunks, distinct, mix, powers, span_hashes, text_buffer, word_spans
 from .shared import Scope, labels, long_ids, pack, quoted, session_scope, ship, shuffle_partitions, unpack
 
@@ -134,29 +134,13 @@ def _stage(docs: DataFrame, window: int, anchor: int, buckets: int, block_bytes:
     return docs.mapInArrow(run, CELLS)
 
 
-def _answer(staged: DataFrame, reply) -> DataFrame:
-    """One cell for each cell: what ``reply`` makes of all payloads of a reference block."""
-
-    def run(table: pa.Table) -> pa.Table:
-        out = reply([unpack(x, squeezed=True) for x in table.column("payload").to_pylist()])
-        return pa.Table.from_arrays([table.column("block"), table.column("bucket"), pa.array(out, pa.binary())], schema=CELL_ARROW)
-
-    return staged.where("bucket >= 0").groupBy("bucket").applyInArrow(run, CELLS)
-
-
-def _in_order(found: pa.Table, squeezed: bool) -> list[list[np.ndarray]]:
-    """Answers of a block in the order of its buckets."""
-    payloads = found.column("payload").to_pylist()
-    return [unpack(payloads[i], squeezed) for i in np.argsort(found.column("bucket").to_numpy()).tolist()]
-
-
 def _shared(parts) -> list[bytes]:
     """A bit for each minimizer of each cell: whether two documents have it."""
     _, _, index = distinct(np.concatenate([np.cumsum(p[0]) for p in parts]))
     several = np.concatenate([p[1] for p in parts])
     bits = ((np.bincount(index) > 1) | (np.bincount(index, weights=several) > 0))[index]
     ends = np.cumsum([len(p[0]) for p in parts])
-    return [pack(np.array([len(p[0])], np.int64), np.packbits(bits[e - len(p[0]) : e])) for p, e in zip(parts, ends.tolist(), strict=True)]
+    return [pack(np.array([len(p[0])], np.int64), np.packbits(bits[e - len(p[0]) : e]), squeeze=True) for p, e in zip(parts, ends.tolist(), strict=True)]
 
 
 def _places(parts) -> list[bytes]:
@@ -185,7 +169,7 @@ def _look_up(staged: DataFrame, answers: DataFrame, window: int, anchor: int, bu
     label = labels(buckets).tolist()
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
-        bits = [np.unpackbits(p[1], count=int(p[0][0])).astype(bool) for p in _in_order(found, False)]
+        bits = [np.unpackbits(p[1], count=int(p[0][0])).astype(bool) for p in in_order(found)]
         bits = np.concatenate(bits) if bits else np.zeros(0, bool)
         out = []
         for block, payload in zip(docs.column("block").to_pylist(), docs.column("payload").to_pylist(), strict=True):
@@ -251,7 +235,7 @@ def factors(start: np.ndarray, doc: np.ndarray, at: np.ndarray, window: int) ->
 def _index_places(found: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of each phrase that a block sent: whether the index has it at a smaller id, that id (else 0) and position less the block's."""
     known, doc, shift = [np.zeros(0, bool)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-    for n, bits, ids, moved in _in_order(found, True):
+    for n, bits, ids, moved in in_order(found):
         k = np.unpackbits(bits, count=int(n[0])).astype(bool)
         d, s = np.zeros(len(k), np.int64), np.zeros(len(k), np.int64)
         d[k], s[k] = np.cumsum(ids), np.cumsum(moved)
@@ -317,7 +301,7 @@ def without_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column:
     arrow = to_arrow_schema(rows)
     round_one = Scope(spark)
     first = round_one.write(_stage(source, window, anchor, buckets, block_bytes), "minimizers")
-    second = own.write(_look_up(first, _answer(first, _shared), window, anchor, buckets), "phrases")
+    second = own.write(_look_up(first, replies(first, _shared), window, anchor, buckets), "phrases")
     del first
     round_one.drop()
 
@@ -331,5 +315,5 @@ def without_repeats(docs: DataFrame, *, id_column: str = "doc_id", text_column:
         made = [_emit(x, places, arrow, window, texts) for x in docs_.column("payload").to_pylist()]
         return pa.concat_tables(made) if made else arrow.empty_table()
 
-    affected = second.where("bucket = -1").groupBy("block").cogroup(_answer(second, _places).groupBy("block")).applyInArrow(parsed, rows)
+    affected = second.where("bucket = -1").groupBy("block").cogroup(replies(second, _places).groupBy("block")).applyInArrow(parsed, rows)
     return second.where("bucket = -2").mapInArrow(plain, rows).unionByName(affected)
