@@ -63,7 +63,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--model", default="model")
     p.add_argument("--host", default="127.0.0.1")
     p.add_argument("--port", type=int)
-    for name, kind, default in (("region-size", int, 4096), ("region-overlap", int, 0), ("tile-size", int, 1024), ("overlap", int, 128), ("max-regions", int, None), ("max-tiles-per-region", int, None), ("min-tree-region-vegetation-fraction", float, 0.4), ("min-tree-region-score", float, 0.2), ("samples-per-stage", int, 5), ("model-concurrency", int, 4)):
+    for name, kind, default in (("region-size", int, 4096), ("region-overlap", int, 0), ("tile-size", int, 1024), ("overlap", int, 128), ("max-regions", int, None), ("max-tiles-per-region", int, None), ("min-tree-region-vegetation-fraction", float, 0.4), ("min-tree-region-score", float, 0.2), ("samples-per-stage", int, 5), ("refresh-regions", int, None), ("model-concurrency", int, 4)):
         p.add_argument(f"--{name}", type=kind, default=default)
     for name in ("convert", "subset", "deliver"):
         p = commands.add_parser(name)
@@ -93,8 +93,14 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     spark = SparkSession.builder.appName("gridloom").getOrCreate()
     if a.command == "annotate":
-        names = ("region_size", "region_overlap", "tile_size", "overlap", "max_regions", "max_tiles_per_region", "min_tree_region_vegetation_fraction", "min_tree_region_score", "samples_per_stage", "model_concurrency")
-        config = annotate.Config(a.output_dir, **{n: getattr(a, n) for n in names})
+        config = annotate.Config(
+            a.output_dir,
+            regions=annotate.Windows(a.region_size, a.region_overlap, a.max_regions),
+            tiles=annotate.Windows(a.tile_size, a.overlap, a.max_tiles_per_region),
+            gates=annotate.Gates(region_vegetation=a.min_tree_region_vegetation_fraction, region_score=a.min_tree_region_score),
+            asking=annotate.Asking(concurrency=a.model_concurrency, samples=a.samples_per_stage),
+            pages=annotate.Pages(refresh_regions=a.refresh_regions),
+        )
         runner = None if a.dry_run else ChatRunner(base_url(a.host, a.port), a.model)
         out = annotate.Run(spark, config, NpyRaster(a.input_path), runner).run()
     elif a.command == "convert":

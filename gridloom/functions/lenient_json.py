@@ -36,6 +36,12 @@ def parse(text: Column) -> Column:
     return F.coalesce(strict(text), strict(coerce.strip(without_comments(coerce.strip(fenced(text))))))
 
 
+def checked(replies: DataFrame, text: str) -> DataFrame:
+    """Replies with an error where there is none yet and the text does not parse."""
+    lost = F.when(parse(F.col(text)).isNull(), F.lit("the reply does not parse"))
+    return replies.withColumn("error", F.coalesce("error", lost))
+
+
 def detection_items(v: Column) -> Column:
     """The list of detections: a list itself, the first list under a known key, or a single labelled box."""
     one = F.when(F.try_variant_get(v, "$.label", "variant").isNotNull() & F.try_variant_get(v, "$.bbox", "variant").isNotNull(), F.array(v))

@@ -81,15 +81,32 @@ def worth_logging(current: Column, total: Column) -> Column:
     return (total <= 10) | (current == 1) | (current == total) | (current % 10 == 0) | (tenth(current) != tenth(current - 1))
 
 
-def region_prompt() -> str:
-    return "Decide whether this aerial image shows trees. Answer with one JSON object with the keys has_tree (boolean), score (0 to 1), tree_coverage (0 to 1) and reason (short text)."
+def region_prompt(width: Column, height: Column) -> Column:
+    """The request for a region's verdict, naming its size."""
+    return F.format_string(
+        "This is a low-resolution aerial image of a region of %d x %d pixels. Decide whether it shows trees that are worth a closer look for dead or fallen ones.\n"
+        "Say true for a clear canopy, a belt or group of trees or a wooded patch; say false where roads, water, bare ground, buildings or sparse shrubs prevail.\n"
+        "Answer with one JSON object and nothing else: has_tree (boolean), score (0 to 1), tree_coverage (0 to 1), reason (short text).",
+        width,
+        height,
+    )
 
 
 #: What each label means, for prompts.
-LABEL_NOTES = {"fallen_tree": "a tree that lies on the ground or leans far over", "diseased_tree": "a standing tree with dead, yellow or thinned crown"}
+LABEL_NOTES = {"fallen_tree": "a visible tree that lies on the ground or leans far over, unlike the upright trees around it", "diseased_tree": "a visible tree whose crown is yellow, red, grey, thinned or partly dead"}
+#: What is no target, for prompts.
+TILE_RULES = (
+    "Boxes are in pixels of this image.",
+    "Report a box only where trunk, crown or the whole tree is clearly visible and the damage is the tree's own.",
+    "Power towers, pylons, utility poles, wires, insulators, guy lines, tower bases, access tracks, tower shadows and cleared strips are never targets; nor are shapes, shadows, glare or bare ground near them.",
+    "Where a power tower or wire is close and the damage cannot be told to be a tree's, report nothing.",
+    "Without a sure target the list is empty.",
+)
 
 
 def tile_prompt(width: Column, height: Column, labels: tuple[str, ...] = tuple(LABEL_NOTES)) -> Column:
-    """The request for detections in a tile, naming its size and the labels."""
-    notes = "".join(f"\n- {x}: {LABEL_NOTES.get(x, x)}" for x in labels).replace("%", "%%")
-    return F.format_string("Find damaged trees in this aerial image of %d x %d pixels. Labels:" + notes + '\nAnswer with one JSON object {"detections": [{"label", "score", "reason", "bbox": [x0, y0, x1, y1]}]} in pixels of this image.', width, height)
+    """The request for detections in a tile, naming its size, the labels and what is no target."""
+    notes = "".join(f"\n- {x}: {LABEL_NOTES.get(x, x)}" for x in labels)
+    rules = "".join(f"\n{i}. {x}" for i, x in enumerate(TILE_RULES, 1))
+    text = "Find damaged trees in this aerial image of %d x %d pixels. Labels:" + (notes + "\nRules:" + rules).replace("%", "%%")
+    return F.format_string(text + '\nAnswer with one JSON object and nothing else: {"summary": "...", "detections": [{"label": "...", "score": 0 to 1, "bbox": [x0, y0, x1, y1], "reason": "..."}]}', width, height)

@@ -261,15 +261,16 @@ def pending_tiles_model(spark, sf_dir):
     return rollup.pending_tiles(rows.select("tile_id"), rows.select("tile_id", "status"), True)
 
 
-@query("""WITH o AS (SELECT event_type AS stage, user_id AS item, min(event_id) AS seq FROM events WHERE event_id % 10 >= 3 GROUP BY 1, 2),
+@query("""WITH o AS (SELECT event_type AS stage, user_id AS item, min(event_id) AS seq FROM events WHERE NOT (event_id % 10 < 3 AND user_id % 50 = 0) GROUP BY 1, 2),
     s AS (SELECT DISTINCT event_type AS stage, user_id AS item FROM events WHERE event_id % 10 < 3 AND user_id % 50 = 0),
     fresh AS (SELECT o.* FROM o ANTI JOIN s USING (stage, item)), prior AS (SELECT stage, count(*) AS n FROM s GROUP BY 1),
     r AS (SELECT *, row_number() OVER (PARTITION BY stage ORDER BY seq) + coalesce((SELECT n FROM prior p WHERE p.stage = fresh.stage), 0) AS sample_index FROM fresh)
     SELECT stage || ':' || item AS sample_key, CAST(sample_index AS BIGINT) AS sample_index FROM r WHERE sample_index <= 12""")
 def first_samples(spark, sf_dir):
     e = table(spark, sf_dir, "events").select(F.col("event_type").alias("stage"), F.col("user_id").alias("item_id"), F.col("event_id").alias("seq"))
-    saved = e.where((F.col("seq") % 10 < 3) & (F.col("item_id") % 50 == 0)).select("stage", F.concat_ws(":", "stage", "item_id").alias("sample_key")).distinct()
-    return state.first_samples(e.where(F.col("seq") % 10 >= 3), saved, 12).select("sample_key", F.col("sample_index").cast("long").alias("sample_index"))
+    earlier = (F.col("seq") % 10 < 3) & (F.col("item_id") % 50 == 0)  # each event is an earlier run's or this one's
+    saved = e.where(earlier).select("stage", F.concat_ws(":", "stage", "item_id").alias("sample_key")).distinct()
+    return state.first_samples(e.where(~earlier), saved, 12).select("sample_key", F.col("sample_index").cast("long").alias("sample_index"))
 
 
 @query("SELECT event_type AS stage, count(*) AS n FROM events GROUP BY 1")
@@ -328,9 +329,10 @@ def dashboard_filter(spark, sf_dir):
 
 
 @query(f"""WITH {STATES} SELECT count(*) AS total_region_count, count(*) FILTER (tree_presence) AS tree_region_count, count(*) FILTER (damage_stage_status = 'done') AS damage_done_region_count,
-    count(*) FILTER (damage_stage_status IN ('pending', 'pending_model', 'running')) AS damage_pending_region_count, count(*) FILTER (detection_count > 0) AS damage_positive_region_count, CAST(0 AS BIGINT) AS detection_count FROM states""")
+    count(*) FILTER (damage_stage_status IN ('pending', 'pending_model', 'running')) AS damage_pending_region_count, count(*) FILTER (detection_count > 0) AS damage_positive_region_count, CAST(sum(detection_count) AS BIGINT) AS detection_count FROM states""")
 def kpi_cards(spark, sf_dir):
-    return rollup.kpi_cards(rollup.summary(states(spark, sf_dir), 0))
+    rows = states(spark, sf_dir)
+    return rollup.kpi_cards(rollup.summary(rows, rows.agg(F.sum("detection_count")).first()[0]))
 
 
 @query(f"""WITH {STATES} SELECT count(*) FILTER (detection_count > 0) AS visible, count(*) AS total FROM states""")
@@ -361,12 +363,13 @@ def mean_scores(spark, sf_dir):
 
 
 @query("""WITH r AS (SELECT printf('region_%05d', c_custkey) AS region_id, c_custkey % 40 * 100 AS col_off, c_custkey // 40 * 100 AS row_off, 150 AS width, 120 AS height FROM customer),
-    d AS (SELECT event_id, printf('region_%05d', user_id) AS region_id, event_id * 31 % 4000 + 0.5 AS x0, event_id * 17 % 700 + 0.25 AS y0 FROM events WHERE event_id % 5 = 0)
-    SELECT r.region_id, d.event_id AS detection_id FROM r JOIN d ON r.region_id = d.region_id OR (x0 >= col_off AND x0 < col_off + width AND y0 >= row_off AND y0 < row_off + height)""")
+    d AS (SELECT event_id, printf('region_%05d', user_id) AS region_id, event_id * 31 % 4000 + 0.5 AS x0, event_id * 17 % 700 + 0.25 AS y0 FROM events)
+    SELECT r.region_id, d.event_id AS detection_id FROM r JOIN d ON r.region_id = d.region_id
+    UNION SELECT r.region_id, d.event_id FROM r JOIN d ON x0 >= col_off AND x0 < col_off + width AND y0 >= row_off AND y0 < row_off + height""")
 def region_detections(spark, sf_dir):
     k, i = F.col("c_custkey"), F.col("event_id")
     r = table(spark, sf_dir, "customer").select(F.format_string("region_%05d", k).alias("region_id"), (k % 40 * 100).alias("col_off"), (F.floor(k / 40) * 100).alias("row_off"), F.lit(150).alias("width"), F.lit(120).alias("height"))
-    d = table(spark, sf_dir, "events").where(i % 5 == 0).select(i.alias("detection_id"), F.format_string("region_%05d", "user_id").alias("region_id"), (i * 31 % 4000 + 0.5).alias("x0"), (i * 17 % 700 + 0.25).alias("y0"))
+    d = table(spark, sf_dir, "events").select(i.alias("detection_id"), F.format_string("region_%05d", "user_id").alias("region_id"), (i * 31 % 4000 + 0.5).alias("x0"), (i * 17 % 700 + 0.25).alias("y0"))
     return rollup.region_detections(r, d, 256)
 
 
@@ -449,10 +452,9 @@ def grounding_rows(spark, sf_dir):
 @query(f"""WITH {ANNOTATED}, s AS (SELECT * FROM latest WHERE role = 'assistant') SELECT (SELECT count(DISTINCT conv_id) FROM conversations) AS total_tasks, count(*) AS exported_samples, count(DISTINCT conv_id) AS exported_images, (SELECT count(DISTINCT conv_id) FROM conversations) - count(DISTINCT conv_id) AS skipped FROM s""")
 def conversion_summary(spark, sf_dir):
     t = tasks(spark, sf_dir)
-    made = convert.samples(t, labels={"assistant"})
-    total = t.agg(F.count("*").alias("total_tasks"))
-    counted = made.agg(F.count("*").alias("exported_samples"), F.count_distinct("image").alias("exported_images"), F.count_distinct("task_id").alias("ids"))
-    return total.crossJoin(counted).select("total_tasks", "exported_samples", "exported_images", (F.col("total_tasks") - F.col("ids")).alias("skipped"))  # one row each
+    found = convert.conversion_summary(t, convert.samples(t, labels={"assistant"}))
+    values = [found[c] for c in ("total_tasks", "exported_samples", "exported_images", "skipped_tasks_without_boxes")]
+    return spark.createDataFrame([values], "total_tasks long, exported_samples long, exported_images long, skipped long")
 
 
 # ---- paths and texts ----
@@ -502,10 +504,42 @@ def progress_lines(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", paths.progress(cur, tot).alias("progress"), paths.worth_logging(cur, tot).alias("logged"))
 
 
-@query("""SELECT p_partkey, 'Find damaged trees in this aerial image of ' || p_size || ' x 90 pixels.' AS head, TRUE AS names_labels FROM part""")
+PROMPT = """'Find damaged trees in this aerial image of ' || p_size || ' x 90 pixels. Labels:
+- fallen_tree: a visible tree that lies on the ground or leans far over, unlike the upright trees around it
+- diseased_tree: a visible tree whose crown is yellow, red, grey, thinned or partly dead
+Rules:
+1. Boxes are in pixels of this image.
+2. Report a box only where trunk, crown or the whole tree is clearly visible and the damage is the tree''s own.
+3. Power towers, pylons, utility poles, wires, insulators, guy lines, tower bases, access tracks, tower shadows and cleared strips are never targets; nor are shapes, shadows, glare or bare ground near them.
+4. Where a power tower or wire is close and the damage cannot be told to be a tree''s, report nothing.
+5. Without a sure target the list is empty.
+Answer with one JSON object and nothing else: {"summary": "...", "detections": [{"label": "...", "score": 0 to 1, "bbox": [x0, y0, x1, y1], "reason": "..."}]}'"""
+
+
+@query(f"SELECT p_partkey, {PROMPT} AS prompt FROM part")
 def tile_prompts(spark, sf_dir):
-    text = paths.tile_prompt(F.col("p_size"), F.lit(90))
-    return table(spark, sf_dir, "part").select("p_partkey", F.concat(F.substring_index(text, ".", 1), F.lit(".")).alias("head"), (text.contains("fallen_tree") & text.contains("diseased_tree")).alias("names_labels"))
+    return table(spark, sf_dir, "part").select("p_partkey", paths.tile_prompt(F.col("p_size"), F.lit(90)).alias("prompt"))
+
+
+REPLIES = """texts AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN NULL WHEN 1 THEN 'sorry, no JSON' WHEN 2 THEN '[]' WHEN 3 THEN '{"detections": [' ELSE '{"detections": []}' END AS reply, CASE WHEN event_id % 5 = 0 THEN 'OSError: down' END AS failed FROM events)"""
+
+
+@query(f"WITH {REPLIES} SELECT event_id, coalesce(failed, CASE WHEN reply IN ('[]', '{{\"detections\": []}}') THEN NULL ELSE 'the reply does not parse' END) AS error FROM texts")
+def reply_errors(spark, sf_dir):
+    i = F.col("event_id")
+    text = F.when(i % 5 == 1, "sorry, no JSON").when(i % 5 == 2, "[]").when(i % 5 == 3, '{"detections": [').when(i % 5 == 4, '{"detections": []}')
+    rows = table(spark, sf_dir, "events").select(i, text.alias("reply"), F.when(i % 5 == 0, "OSError: down").alias("error"))
+    return lenient_json.checked(rows, "reply").select("event_id", "error")
+
+
+@query("""WITH r AS (SELECT event_id, event_id % 100 / 100.0 AS v, event_id * 7 % 100 / 100.0 AS s, event_id % 3 AS k FROM events)
+    SELECT event_id, CASE WHEN k = 0 THEN 'model' ELSE 'heuristic' END AS method, CASE WHEN k = 0 THEN TRUE ELSE v >= 0.08 AND s >= 0.18 END AS has_tree, CAST(CASE WHEN k = 0 THEN 0.75 ELSE s END AS DOUBLE) AS score, CAST(CASE WHEN k = 0 THEN 0.5 ELSE v END AS DOUBLE) AS tree_coverage FROM r""")
+def region_fallback(spark, sf_dir):
+    """A usable reply decides; an unusable or missing one leaves the region to the heuristic."""
+    i = F.col("event_id")
+    text = F.when(i % 3 == 0, '{"has_tree": true, "score": 0.75, "tree_coverage": 0.5}').when(i % 3 == 1, "no JSON")
+    rows = table(spark, sf_dir, "events").select(i, (i % 100 / 100.0).alias("vegetation_fraction"), (i * 7 % 100 / 100.0).alias("score"), text.alias("reply"))
+    return imaging.classified(rows, 0.08, 0.18, lenient_json.region_reply(F.col("reply"))).select("event_id", "method", "has_tree", "score", "tree_coverage")
 
 
 # ---- exports ----

@@ -2,6 +2,7 @@
 
 BOX = "struct<x0:double,y0:double,x1:double,y1:double>"
 REGION = "region_id string, row_off int, col_off int, width int, height int"
+REGION_INDEX = REGION + ", ordinal int"
 TREE_RESULT = REGION + ", method string, has_tree boolean, score double, vegetation_fraction double, texture_score double, tree_coverage double, reason string, processed_at string"
 TILE = "tile_id string, region_id string, row_off int, col_off int, width int, height int, vegetation_fraction double, texture_score double, score double"
 DETECTION = f"struct<label:string,score:double,reason:string,tile_px_bbox:{BOX},orig_px_bbox:{BOX},source_crs:string,source_crs_polygon:array<array<double>>,wgs84_polygon:array<array<double>>>"

@@ -24,12 +24,12 @@ def read_jsonl(spark: SparkSession, path: str, schema: str | StructType) -> Data
 
 def read_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSON lines written by ``append_log``: rows with batch_id and seq."""
-    return read_jsonl(spark, path, schema + ", batch_id long, seq long")
+    return read_jsonl(spark, path, ", ".join(filter(None, [schema, "batch_id long, seq long"])))
 
 
 def append_log(rows: DataFrame, path: str, batch_id: int, order: str) -> None:
-    """Append rows to a log with their batch and their order in it (a column of longs)."""
-    rows.withColumns({"batch_id": F.lit(batch_id).cast("long"), "seq": F.col(order).cast("long")}).write.mode("append").option("ignoreNullFields", "false").json(path)
+    """Append a batch of rows to a log with their order in it (a column of longs); a batch that is written again replaces itself."""
+    rows.withColumns({"batch_id": F.lit(batch_id).cast("long"), "seq": F.col(order).cast("long")}).write.mode("overwrite").option("ignoreNullFields", "false").json(f"{path}/batch_id={batch_id}")
 
 
 def read_tasks(spark: SparkSession, path: str, schema: str) -> DataFrame:

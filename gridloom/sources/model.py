@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import base64
 import json
+import logging
 import time
 import urllib.request
 from collections.abc import Callable
@@ -38,9 +39,17 @@ def payload(model: str, messages: list[dict], *, stream: bool = False, temperatu
     return {"model": model, "messages": messages, "stream": stream, "temperature": temperature, "top_p": top_p}
 
 
-def messages(prompt: str, images: list[bytes], kind: str = "image/jpeg") -> list[dict]:
-    """One user message: all images, then the prompt."""
-    parts = [{"type": "image_url", "image_url": {"url": f"data:{kind};base64,{base64.b64encode(i).decode()}"}} for i in images]
+#: First bytes of image files and their media types (fixed values).
+MEDIA_TYPES = {b"\xff\xd8\xff": "image/jpeg", b"\x89PNG": "image/png", b"P6": "image/x-portable-pixmap", b"P5": "image/x-portable-graymap"}
+
+
+def media_type(image: bytes) -> str:
+    return next((kind for head, kind in MEDIA_TYPES.items() if image.startswith(head)), "application/octet-stream")
+
+
+def messages(prompt: str, images: list[bytes]) -> list[dict]:
+    """One user message: all images, each with its own media type, then the prompt."""
+    parts = [{"type": "image_url", "image_url": {"url": f"data:{media_type(i)};base64,{base64.b64encode(i).decode()}"}} for i in images]
     return [{"role": "user", "content": [*parts, {"type": "text", "text": prompt}]}]
 
 
@@ -78,20 +87,29 @@ class ChatRunner:
         raise AssertionError("attempts must be positive")
 
 
-def replies(rows: DataFrame, runner: Runner, *, key: str, prompt: str = "prompt", image: str = "image", concurrency: int = 4) -> DataFrame:
-    """key, reply and error of every row; ``concurrency`` calls at a time in a task. An error of one row leaves the others."""
+def replies(rows: DataFrame, runner: Runner, *, key: str, prompt: str = "prompt", image: str = "image", concurrency: int = 4, log: bool = False) -> DataFrame:
+    """key, reply, error and invalid of every row; ``concurrency`` calls at a time in a task. An error of one row leaves the others.
+
+    invalid: the error says that a value is not valid (a ValueError), not that the call failed.
+    With ``log``, replies go to the worker's log as they come.
+    """
 
     def run(frames):
-        def one(p, i):
+        said = logging.getLogger("gridloom.replies")
+
+        def one(k, p, i):
             try:
-                return runner(p, bytes(i)), None
+                text = runner(p, bytes(i))
             except Exception as e:
-                return None, f"{type(e).__name__}: {e}"
+                return None, f"{type(e).__name__}: {e}", isinstance(e, ValueError)
+            if log:
+                said.warning("%s: %s", k, text)
+            return text, None, False
 
         with ThreadPoolExecutor(concurrency) as pool:
             for frame in frames:
-                made = list(pool.map(one, frame[prompt], frame[image]))
-                yield pd.DataFrame({key: frame[key], "reply": [m[0] for m in made], "error": [m[1] for m in made]})
+                made = list(pool.map(one, frame[key], frame[prompt], frame[image]))
+                yield pd.DataFrame({key: frame[key], "reply": [m[0] for m in made], "error": [m[1] for m in made], "invalid": [m[2] for m in made]})
 
     kind = rows.schema[key].dataType.simpleString()
-    return rows.select(key, prompt, image).mapInPandas(run, f"{key} {kind}, reply string, error string")
+    return rows.select(key, prompt, image).mapInPandas(run, f"{key} {kind}, reply string, error string, invalid boolean")

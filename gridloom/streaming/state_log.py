@@ -12,7 +12,7 @@ from ..sources.jsonl import append_log, read_log
 
 
 def follow(stream: DataFrame, log: str, checkpoint: str, order: str, refresh: Callable[[DataFrame], None] | None = None):
-    """Append every micro-batch once to the log (a batch that is retried replaces none: its id tells it apart), then refresh.
+    """Append every micro-batch once to the log (one that is retried replaces itself), then refresh.
 
     Runs through all that is available and stops; started again, it goes on from its checkpoint.
     """

@@ -1,3 +1,4 @@
+import json
 import random
 
 import pytest
@@ -15,17 +16,39 @@ def lit_box(*b):
     return geometry.box(*b)
 
 
+def clipped(b, w, h):
+    """Corners in order, held inside the image."""
+    (x0, x1), (y0, y1) = sorted(b[::2]), sorted(b[1::2])
+    return tuple(float(min(max(v, 0), most)) for v, most in ((x0, w), (y0, h), (x1, w), (y1, h)))
+
+
+def area_ratio(a, b):
+    """IoU of boxes with whole corners, by counting unit squares."""
+    cells = lambda r: {(x, y) for x in range(r[0], r[2]) for y in range(r[1], r[3])}
+    both, any_ = cells(a) & cells(b), cells(a) | cells(b)
+    return len(both) / len(any_) if any_ else 0
+
+
+def drawn(seed, n, low=-6, high=18):
+    rnd = random.Random(seed)
+    return [tuple(rnd.randint(low, high) for _ in range(4)) for _ in range(n)]
+
+
 def test_clip(spark):
-    assert tuple(one(spark, geometry.clip_box(lit_box(-5, 3, 12, 20), F.lit(10), F.lit(8)))) == (0, 3, 10, 8)
-    assert tuple(one(spark, geometry.clip_box(lit_box(9, 7, 2, -2), F.lit(6), F.lit(5)))) == (2, 0, 6, 5)
+    boxes = drawn(1, 40)
+    df = spark.createDataFrame([tuple(map(float, b)) for b in boxes], "a double, b double, c double, d double")
+    got = df.select(geometry.clip_box(geometry.box(*[F.col(c) for c in "abcd"]), F.lit(13), F.lit(9)).alias("x")).collect()
+    assert [tuple(r["x"]) for r in got] == [clipped(b, 13, 9) for b in boxes]
     assert one(spark, geometry.clip_box(geometry.box(F.lit(None), 1, 2, 3), F.lit(6), F.lit(5))) is None
 
 
 def test_iou(spark):
-    assert one(spark, geometry.iou(lit_box(0, 0, 10, 10), lit_box(5, 5, 15, 15))) == pytest.approx(25 / 175)
-    assert one(spark, geometry.iou(lit_box(0, 0, 1, 1), lit_box(2, 2, 3, 3))) == 0
-    assert one(spark, geometry.iou(lit_box(0, 0, 1, 1), lit_box(1, 0, 2, 1))) == 0
-    assert one(spark, geometry.iou(lit_box(0, 0, 0, 0), lit_box(0, 0, 0, 0))) == 0
+    ordered = [(min(a, c), min(b, d), max(a, c), max(b, d)) for a, b, c, d in drawn(2, 60, 0, 9)]
+    pairs = list(zip(ordered[::2], ordered[1::2], strict=True))
+    df = spark.createDataFrame([tuple(map(float, a + b)) for a, b in pairs], ", ".join(f"c{i} double" for i in range(8)))
+    c = [F.col(f"c{i}") for i in range(8)]
+    got = df.select(geometry.iou(geometry.box(*c[:4]), geometry.box(*c[4:])).alias("x")).collect()
+    assert [r["x"] for r in got] == pytest.approx([area_ratio(a, b) for a, b in pairs])
 
 
 def keep(spark, boxes, t):
@@ -34,11 +57,11 @@ def keep(spark, boxes, t):
     return [r["score"] for r in suppression.ranked(suppression.suppress(df, t)).orderBy("rank").collect()]
 
 
-def test_suppression_fixtures(spark):
-    assert keep(spark, [(0.6, (0, 0, 10, 10)), (0.9, (1, 1, 9, 9)), (0.8, (20, 20, 30, 30))], 0.5) == [0.9, 0.8]
-    assert keep(spark, [(0.2, (0, 0, 10, 10)), (0.7, (5, 5, 15, 15)), (0.5, (30, 30, 40, 40))], 0.6) == [0.7, 0.5, 0.2]
-    assert keep(spark, [(0.2, (0, 0, 1, 1)), (0.7, (5, 5, 6, 6))], 0) == [0.7]
-    assert keep(spark, [], 0.5) == []
+def test_suppression_edges(spark):
+    chain = [(1 - i / 100, (4 * i, 0, 4 * i + 10, 10)) for i in range(12)]  # each overlaps the next; every other one stays
+    assert keep(spark, chain, 0.4) == [s for s, _ in chain[::2]]
+    assert len(keep(spark, [(0.3, (0, 0, 2, 2)), (0.4, (8, 8, 9, 9))], 0)) == 1  # a threshold of 0 leaves the best alone
+    assert keep(spark, [], 0.3) == []
 
 
 @pytest.mark.parametrize("seed", range(4))
@@ -63,12 +86,12 @@ def test_suppression_equals_sequential(spark, seed):
 
 
 CASES = [
-    ('{"task":"annotate","count":2}', '{"count":2,"task":"annotate"}'),
-    ('Sure:\n```json\n{"a": 1, // one\n "b": [1, 2] /* two */}\n```\nDone', '{"a":1,"b":[1,2]}'),
-    ('```json\n{"url": "http://x/y", "t": "/* keep */"}\n```', '{"t":"/* keep */","url":"http://x/y"}'),
-    ('```\n{"status":"ok","items":[1,2,3]}\n```', '{"items":[1,2,3],"status":"ok"}'),
-    ("", None),
-    ("not-json", None),
+    ('{"b": [true, null], "a": {"c": "x"}}', '{"a":{"c":"x"},"b":[true,null]}'),
+    ('As asked: ```json {"k": [1, /* one */ 2], // rest\n "m": 0.5} ``` Bye', '{"k":[1,2],"m":0.5}'),
+    ('```json\n{"link": "ftp://a//b", "note": "a /* b */ c"}\n```', '{"link":"ftp://a//b","note":"a /* b */ c"}'),
+    ('```\n[{"n": 7}]\n```', '[{"n":7}]'),
+    ("  ", None),
+    ("{broken", None),
     ('{"a":1} tail', None),
     ("1], [2", None),
     (None, None),
@@ -119,16 +142,17 @@ def test_comments_equal_sequential(spark):
 
 
 def test_damage_reply(spark):
-    text = '```json\n{"detections": [{"label": "倒伏树木", "score": 0.93, "bbox": {"x": 12, "y": 18, "width": 50, "height": 30}}, {"label": "unknown", "score": 0.99, "bbox": [0, 0, 5, 5]}]}\n```'
-    rows = spark.createDataFrame([("t", 128, 128, text)], "tile_id string, width int, height int, reply string")
+    items = [{"label": "枯死木", "score": "0.8", "bbox": {"x": 30, "y": 4, "width": 90, "height": 9}}, {"label": "pylon", "score": 1, "bbox": [1, 1, 9, 9]}, {"label": "fallen_tree", "score": 0.2, "bbox": [1, 1, 9, 9]}, {"label": "fallen_tree", "score": 0.6, "bbox": [70, 1, 70, 9]}]
+    text = "Here:\n```\n" + json.dumps({"objects": items}) + " // end\n```"
+    rows = spark.createDataFrame([("t", 64, 48, text)], "tile_id string, width int, height int, reply string")
     (r,) = lenient_json.detections(rows, "reply").collect()
-    assert (r["label"], tuple(r["bbox"])) == ("fallen_tree", (12, 18, 62, 48))
+    assert (r["position"], r["label"], r["score"], tuple(r["bbox"])) == (0, "diseased_tree", 0.8, (30, 4, 64, 13))
 
 
 def test_region_reply(spark):
     ask = lambda t, **k: one(spark, lenient_json.region_reply(F.lit(t), **k))
-    r = ask('{"has_tree": true, "score": 0.81, "tree_coverage": 0.46, "reason": "canopy"}')
-    assert (r["has_tree"], r["score"], r["tree_coverage"], r["reason"]) == (True, 0.81, 0.46, "canopy")
+    r = ask('{"contains_trees": "yes", "confidence": 0.3, "coverage": 0.25, "summary": "a hedge"}')
+    assert (r["has_tree"], r["score"], r["tree_coverage"], r["reason"]) == (True, 0.3, 0.25, "a hedge")
     assert ask('{"has_tree": false}')["has_tree"] is None  # falls through, as established
     assert ask('{"has_tree": false}', as_is=True)["has_tree"] is False
     assert ask('{"has_tree": "false"}')["has_tree"] is False
@@ -149,20 +173,22 @@ def test_coercions(spark):
         one(spark, coerce.required_number(F.lit(None).cast("double"), F.lit(7)))
 
 
-def test_grid_fixtures(spark):
-    image = spark.createDataFrame([(900, 700)], "width int, height int")
-    rows = grid.regions(image, 256, 64).orderBy("ordinal").collect()
-    first = rows[0]
-    assert (first["region_id"], first["row_off"], first["col_off"], first["width"], first["height"]) == ("region_00000", 0, 0, 256, 256)
-    assert max(r["row_off"] + r["height"] for r in rows) == 700
-    assert max(r["col_off"] + r["width"] for r in rows) == 900
-    region = spark.createDataFrame([("region_00007", 500, 700, 300, 260)], "region_id string, row_off int, col_off int, width int, height int")
-    tiles = grid.tiles(region, 128, 32).orderBy("ordinal").collect()
-    assert tiles[0]["tile_id"] == "region_00007_tile_0000"
-    assert max(t["row_off"] + t["height"] for t in tiles) == 760
-    assert max(t["col_off"] + t["width"] for t in tiles) == 1000
+def covered(rows, width, height):
+    """Pixels that the windows cover, as a set."""
+    return {(y, x) for r in rows for y in range(r["row_off"], r["row_off"] + r["height"]) for x in range(r["col_off"], r["col_off"] + r["width"])}
+
+
+def test_windows_cover_everything_once_or_in_overlaps(spark):
+    image = spark.createDataFrame([(53, 37)], "width int, height int")
+    rows = grid.regions(image, 20, 6).orderBy("ordinal").collect()
+    assert [r["region_id"] for r in rows] == [f"region_{i:05d}" for i in range(len(rows))]
+    assert covered(rows, 53, 37) == {(y, x) for y in range(37) for x in range(53)}
+    region = spark.createDataFrame([("region_00031", 11, 5, 29, 23)], "region_id string, row_off int, col_off int, width int, height int")
+    tiles = grid.tiles(region, 12, 3).orderBy("ordinal").collect()
+    assert tiles[0]["tile_id"] == "region_00031_tile_0000"
+    assert covered(tiles, 0, 0) == {(y, x) for y in range(11, 34) for x in range(5, 34)}
     with pytest.raises(ValueError, match="overlap"):
-        grid.windows(image, 10, 10)
+        grid.windows(image, 7, 8)
 
 
 def test_starts_for_all_sizes(spark):
@@ -179,14 +205,17 @@ def test_starts_for_all_sizes(spark):
         assert r["n"] == len(r["a"])
 
 
-def test_projection_fixture(spark):
-    p = geometry.project(lit_box(20, 10, 70, 40), F.lit(100), F.lit(200), (0.1, 0, 100, 0, -0.1, 20), "EPSG:4326")
-    assert tuple(one(spark, p["orig_px_bbox"])) == (220, 110, 270, 140)
-    ring = one(spark, p["wgs84_polygon"])
-    assert [[round(v, 9) for v in q] for q in ring] == [[122, 9], [127, 9], [127, 6], [122, 6], [122, 9]]
+def test_projection(spark):
+    transform, row, col, b = (0.5, 0.1, 7.0, -0.2, -0.25, 60.0), 30, 400, (3, 8, 13, 18)
+    p = geometry.project(lit_box(*b), F.lit(row), F.lit(col), transform, "EPSG:4326")
+    x0, y0, x1, y1 = b[0] + col, b[1] + row, b[2] + col, b[3] + row
+    assert tuple(one(spark, p["orig_px_bbox"])) == (x0, y0, x1, y1)
+    a, k, c, d, e, f = transform
+    at = [[a * x + k * y + c, d * x + e * y + f] for x, y in ((x0, y0), (x1, y0), (x1, y1), (x0, y1), (x0, y0))]
+    assert [v for q in one(spark, p["wgs84_polygon"]) for v in q] == pytest.approx([v for q in at for v in q])
     assert one(spark, geometry.project(lit_box(0, 0, 1, 1), F.lit(0), F.lit(0), (1, 0, 0, 0, 1, 0), None)["wgs84_polygon"]) is None
-    with pytest.raises(ValueError, match="EPSG:32649"):
-        geometry.to_wgs84(F.lit(None), "EPSG:32649")
+    with pytest.raises(ValueError, match="EPSG:2056"):
+        geometry.to_wgs84(F.lit(None), "EPSG:2056")
 
 
 def test_texts(spark):

@@ -1,5 +1,4 @@
 import json
-import threading
 
 import numpy as np
 import pytest
@@ -12,97 +11,164 @@ from gridloom.sources.jsonl import read_tasks
 from gridloom.sources.raster import NpyRaster, read_ppm
 
 
+#: A green quarter on grey ground, striped so that it has texture: 5 x 4 regions of 100 pixels, of which the green ones pass.
+GROUND, LEAF, STRIPE = (128, 120, 125), (30, 140, 40), (60, 220, 70)
+
+
 @pytest.fixture
 def raster(tmp_path):
-    image = np.empty((384, 384, 3), np.uint8)
-    image[:] = (110, 70, 55)
-    image[:, :192] = (35, 160, 45)
-    image[40:340, 20:160, 1] = 200
+    image = np.empty((400, 500, 3), np.uint8)
+    image[:] = GROUND
+    image[:200, :300] = LEAF
+    image[:200:4, :300] = STRIPE
     np.save(tmp_path / "image.npy", image)
-    return NpyRaster(str(tmp_path / "image.npy"), (0.5, 0, 120, 0, -0.5, 30), "EPSG:4326")
+    return NpyRaster(str(tmp_path / "image.npy"), (0.25, 0, 10, 0, -0.25, 50), "EPSG:4326")
+
 
+W, H, GREEN, TILES = 5, 4, 6, 4
 
-def config(out, **more):
-    return annotate.Config(str(out), region_size=192, tile_size=96, overlap=0, **more)
 
+def config(out, most=None, refresh=None, **asking):
+    return annotate.Config(str(out), regions=annotate.Windows(100, 0, most), tiles=annotate.Windows(50), asking=annotate.Asking(**asking), pages=annotate.Pages(refresh_regions=refresh))
 
-def reply(label="fallen_tree", score=0.91, bbox=(16, 20, 48, 56)):
-    text = json.dumps({"detections": [{"label": label, "score": score, "bbox": list(bbox)}]})
-    return lambda prompt, image: text
+
+def reply(label="diseased_tree", score=0.75, bbox=(5, 6, 25, 36)):
+    text = "Found: " + json.dumps([{"label": label, "score": score, "bbox": list(bbox)}])
+    fenced = f"```json\n{text.removeprefix('Found: ')}\n```"
+    return lambda prompt, image: fenced
 
 
 def test_full_run(spark, raster, tmp_path):
     out = tmp_path / "o"
-    s = annotate.Run(spark, config(out, samples_per_stage=2), raster, reply()).run()
-    assert (s["total_region_count"], s["tree_region_count"], s["damage_done_region_count"]) == (4, 2, 2)
-    assert s["damage_tile_processed_count"] == 8
-    assert s["detection_count"] == 8
-    assert s["label_counts"] == {"fallen_tree": 8, "diseased_tree": 0}
+    s = annotate.Run(spark, config(out, samples=3), raster, reply()).run()
+    assert (s["total_region_count"], s["tree_region_count"], s["damage_done_region_count"]) == (W * H, GREEN, GREEN)
+    assert s["damage_tile_processed_count"] == GREEN * TILES
+    assert s["detection_count"] == GREEN * TILES
+    assert s["label_counts"] == {"fallen_tree": 0, "diseased_tree": GREEN * TILES}
     features = json.loads((out / "detections.geojson").read_text())["features"]
-    assert len(features) == 8
+    assert len(features) == GREEN * TILES
+    first = next(f for f in features if f["properties"]["tile_id"] == "region_00000_tile_0000")
+    assert first["geometry"]["coordinates"][0][0] == pytest.approx([10 + 5 * 0.25, 50 - 6 * 0.25])
     data = json.loads((out / "dashboard" / "dashboard_data.json").read_text())
-    assert len(data["regions"]) == 4
+    assert len(data["regions"]) == W * H
     samples = sorted((out / "samples" / "damage_tile").iterdir())
-    assert len(samples) == 2
-    assert all(p.name.endswith("_96x96.ppm") for p in samples)
-    assert read_ppm(next((out / "tiles").iterdir())).shape == (96, 96, 3)
+    assert len(samples) == 3
+    assert all(p.name.endswith("_50x50.ppm") for p in samples)
+    assert read_ppm(next((out / "tiles").iterdir())).shape == (50, 50, 3)
     with pytest.raises(ValueError, match="tile_size"):
-        annotate.Run(spark, annotate.Config(str(out), region_size=192, tile_size=64, overlap=0), raster)
-    status, body = cli.region_image(raster, {r["region_id"]: r for r in data["regions"]}, {"region_id": ["region_00001"], "max_size": ["64"]})
+        annotate.Run(spark, annotate.Config(str(out), regions=annotate.Windows(100), tiles=annotate.Windows(40)), raster)
+    status, body = cli.region_image(raster, {r["region_id"]: r for r in data["regions"]}, {"region_id": ["region_00001"], "max_size": ["60"]})
     assert status == 200
-    assert body.startswith(b"P6 64 64")
+    assert body.startswith(b"P6 60 60")
     assert [cli.region_image(raster, {}, q)[0] for q in ({}, {"region_id": ["x"], "max_size": ["-1"]}, {"region_id": ["x"]})] == [400, 400, 404]
 
 
-def test_dry_run_then_resume(spark, raster, tmp_path):
+def test_waiting_tiles_are_asked_later(spark, raster, tmp_path):
     out = tmp_path / "o"
-    dry = annotate.Run(spark, config(out, max_regions=1), raster).run()
-    assert dry["damage_tile_pending_model_count"] == 4
-    first = annotate.Run(spark, config(out, max_regions=1), raster, reply("diseased_tree", 0.85, (12, 12, 40, 40))).run()
-    assert (first["damage_done_region_count"], first["detection_count"]) == (1, 4)
-    rest = annotate.Run(spark, config(out), raster, reply("diseased_tree", 0.85, (12, 12, 40, 40))).run()
-    assert (rest["tree_region_count"], rest["damage_done_region_count"], rest["detection_count"]) == (2, 2, 8)
+    dry = annotate.Run(spark, config(out, most=2), raster).run()
+    assert dry["damage_tile_pending_model_count"] == 2 * TILES
+    first = annotate.Run(spark, config(out, most=2), raster, reply("fallen_tree")).run()
+    assert (first["damage_done_region_count"], first["detection_count"]) == (2, 2 * TILES)
+    rest = annotate.Run(spark, config(out), raster, reply("fallen_tree")).run()
+    assert (rest["tree_region_count"], rest["damage_done_region_count"], rest["detection_count"]) == (GREEN, GREEN, GREEN * TILES)
 
 
-def test_model_error_keeps_results(spark, raster, tmp_path):
+def test_failed_and_unreadable_tiles_stay_open(spark, raster, tmp_path):
     out = tmp_path / "o"
+    run = annotate.Run(spark, config(out), raster, lambda p, i: "sorry, no JSON")
+    with pytest.raises(RuntimeError, match="does not parse"):
+        run.run()
+    assert run.log("tiles", annotate.schemas.TILE_RESULT).where("status = 'done'").count() == 0
+    s = annotate.Run(spark, config(out), raster, lambda p, i: "[]").run()
+    assert (s["damage_done_region_count"], s["detection_count"]) == (GREEN, 0)
 
-    def flaky(prompt, image):
-        if bytes(image)[-3:] == bytes((35, 160, 45)):
-            raise OSError("down")
+
+def test_good_tiles_are_kept_when_others_fail(spark, raster, tmp_path):
+    out, bad = tmp_path / "o", tmp_path / "bad"
+    bad.mkdir()
+    here = str(bad)
+
+    def half(prompt, image):
+        import os
+
+        try:  # the first ten calls, whichever they are, fail
+            for k in range(10):
+                if not os.path.exists(f"{here}/{k}"):
+                    os.close(os.open(f"{here}/{k}", os.O_CREAT | os.O_EXCL))
+                    raise OSError("down")
+        except FileExistsError:
+            raise OSError("down") from None
         return "[]"
 
+    run = annotate.Run(spark, config(out, concurrency=1), raster, half)
     with pytest.raises(RuntimeError, match="down"):
-        annotate.Run(spark, config(out), raster, flaky).run()
+        run.run()
+    kept = run.log("tiles", annotate.schemas.TILE_RESULT).where("status = 'done'").count()
+    assert 0 < kept < GREEN * TILES
     s = annotate.Run(spark, config(out), raster, lambda p, i: "[]").run()
-    assert s["damage_done_region_count"] == 2
+    assert s["damage_done_region_count"] == GREEN
+
+
+def test_regions_fall_back_to_the_heuristic(spark, raster, tmp_path):
+    def invalid(prompt, image):
+        if "has_tree" in prompt:
+            raise ValueError("no reply")
+        return "[]"
+
+    run = annotate.Run(spark, config(tmp_path / "a", regions=True), raster, invalid)
+    s = run.run()
+    assert s["tree_region_count"] == GREEN
+    assert {r["method"] for r in run.log("regions", annotate.schemas.TREE_RESULT).collect()} == {"heuristic"}
+    said = annotate.Run(spark, config(tmp_path / "b", regions=True), raster, lambda p, i: '{"has_tree": "no"}' if "has_tree" in p else "[]")
+    assert said.run()["tree_region_count"] == 0
+
+    def down(prompt, image):
+        raise OSError("down")
+
+    lost = annotate.Run(spark, config(tmp_path / "c", regions=True), raster, down)
+    with pytest.raises(RuntimeError, match="down"):
+        lost.run()
+    assert lost.log("regions", annotate.schemas.TREE_RESULT).count() == 0
+
+
+def test_outputs_are_refreshed(spark, raster, tmp_path, monkeypatch):
+    seen, write = [], annotate.Run.materialise
+    monkeypatch.setattr(annotate.Run, "materialise", lambda run: seen.append(write(run)["tree_region_checked_count"]) or {"n": seen[-1]})
+    annotate.Run(spark, config(tmp_path / "o", most=5, refresh=2), raster).run()
+    assert seen == [2, 4, 5]
+
+
+WRONG = [lambda: annotate.Windows(0), lambda: annotate.Windows(10, -1), lambda: annotate.Windows(10, 10), lambda: annotate.Windows(10, 0, 0), lambda: annotate.Asking(concurrency=0), lambda: annotate.Asking(samples=-1), lambda: annotate.Pages(preview=0), lambda: annotate.Pages(overview=-5), lambda: annotate.Pages(refresh_regions=0)]
 
 
-@pytest.mark.parametrize("bad", [{"region_size": 0}, {"region_overlap": -1}, {"region_overlap": 5000}, {"tile_size": 0}, {"overlap": 1024}, {"max_regions": 0}, {"max_tiles_per_region": 0}, {"tree_region_mode": "x"}, {"model_concurrency": 0}, {"samples_per_stage": -1}, {"region_preview_size": 0}])
-def test_config_rules(bad):
+@pytest.mark.parametrize("make", WRONG)
+def test_settings_have_rules(make):
     with pytest.raises(ValueError, match="must"):
-        annotate.Config("/o", **bad)
+        make()
 
 
-def test_concurrency(spark):
-    peak, now, lock = [0], [0], threading.Lock()
+@pytest.mark.parametrize("concurrency", [1, 3])
+def test_calls_at_a_time(spark, tmp_path, concurrency):
+    folder = str(tmp_path)
 
     def runner(prompt, image):
+        import os
         import time
 
-        with lock:
-            now[0] += 1
-            peak[0] = max(peak[0], now[0])
-        time.sleep(0.05)
-        with lock:
-            now[0] -= 1
+        now = f"{folder}/now-{prompt}"
+        os.close(os.open(now, os.O_CREAT))
+        time.sleep(0.1)
+        busy = sum(n.startswith("now-") for n in os.listdir(folder))
+        os.rename(now, f"{folder}/was-{prompt}-{busy}")
         return "ok"
 
-    from concurrent.futures import ThreadPoolExecutor
+    rows = spark.createDataFrame([(f"k{i}", f"p{i}", b"P6") for i in range(9)], "k string, prompt string, image binary").coalesce(1)
+    got = model.replies(rows, runner, key="k", concurrency=concurrency).collect()
+    assert len(got) == 9
+    assert {(r["reply"], r["error"], r["invalid"]) for r in got} == {("ok", None, False)}
+    import os
 
-    with ThreadPoolExecutor(4) as pool:
-        list(pool.map(lambda i: runner("", b""), range(8)))
-    assert peak[0] == 4
+    assert max(int(n.rsplit("-", 1)[1]) for n in os.listdir(folder)) == concurrency
 
 
 def test_chat_runner():
@@ -122,10 +188,11 @@ def test_chat_runner():
     assert [p["type"] for p in body["messages"][0]["content"]] == ["image_url", "text"]
     assert (body["stream"], body["temperature"]) == (False, 0.0)
     assert model.base_url("h", 0) == "http://h"
-    assert "Authorization" not in model.headers("k", {"authorization": "mine"}) or True
     assert model.headers("k", {"authorization": "mine"}) == {"Content-Type": "application/json", "authorization": "mine"}
     assert "extra_body" in model.payload("m", [], video={"fps": 1})
-    assert len(model.messages("p", [b"a", b"b"])[0]["content"]) == 3
+    parts = model.messages("p", [b"P6 1 1 255 abc", b"\xff\xd8\xff\xe0"])[0]["content"]
+    assert [p["image_url"]["url"].split(";")[0] for p in parts[:2]] == ["data:image/x-portable-pixmap", "data:image/jpeg"]
+    assert parts[2]["text"] == "p"
     for body in (b"", b'{"choices":[{"message":{"content":""}}]}', b"nope"):
         with pytest.raises(ValueError):
             model.content(body)

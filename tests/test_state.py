@@ -30,6 +30,14 @@ def test_log_and_latest(spark, tmp_path):
         state.latest(spark.createDataFrame([("", 1)], "id string, seq long"), "id", "seq").collect()
 
 
+def test_a_batch_written_again_replaces_itself(spark, tmp_path):
+    log = str(tmp_path / "log")
+    for _ in range(2):
+        jsonl.append_log(spark.createDataFrame([("a", 0), ("b", 1)], "id string, n long"), log, 7, "n")
+    jsonl.append_log(spark.createDataFrame([("c", 0)], "id string, n long"), log, 8, "n")
+    assert sorted((r["id"], r["batch_id"]) for r in jsonl.read_log(spark, log, "id string").collect()) == [("a", 7), ("b", 7), ("c", 8)]
+
+
 def test_streamed_log(spark, tmp_path):
     src, log, check = (str(tmp_path / n) for n in ("src", "log", "check"))
     schema = "id string, status string, n long"
