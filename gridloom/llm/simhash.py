@@ -289,7 +289,7 @@ def _rarity(parts) -> list[bytes]:
     return [pack(kind[e - len(p[0]) : e], squeeze=True) for p, e in zip(parts, ends, strict=True)]
 
 
-def summaries(docs: DataFrame, scope: Scope, similarity: float, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text", buckets: int | None = None, block_bytes: int = 4 << 20) -> DataFrame:
+def summaries(docs: DataFrame, scope: Scope, similarity: float, *, shingle: int = SHINGLE, id_column: str = "doc_id", text_column: str = "text", buckets: int | None = None, block_bytes: int = 1 << 20) -> DataFrame:
     """doc_id, place (a number of its own for each row), node, fingerprint, size, counts (of hashes by class), skip and prefix of each set.
 
     The prefix is the rarest shingles of the set, the rarest first: two sets that are
