@@ -133,10 +133,16 @@ def search(ids: np.ndarray, values: np.ndarray, query_ids: np.ndarray, queries:
 
 
 def quantised(rows: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """vec_id and floor(scale * x) of each component, as long; rows with a null id, a null vector, or a null or non-finite component are left out."""
+    """vec_id and floor(scale * x) of each component, as long; rows with a null id, a null vector, or a null or non-finite component are left out.
+
+    A vector so long that an inner product could leave 63 bits is an error.
+    """
     x = F.col(vector_column)
+    most = F.sqrt(F.lit(float(1 << 62)) / F.greatest(F.size(x), F.lit(1)))
+    long = F.raise_error(F.lit("a component is too large for exact 64-bit inner products")).cast("long")
+    whole = lambda v: F.when(F.abs(v) < most, F.floor(v).cast("long")).otherwise(long)
     fine = F.col(id_column).isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v.cast("double")) & (F.abs(v.cast("double")) < F.lit(float("inf"))))
-    return rows.where(F.coalesce(fine, F.lit(False))).select(F.col(id_column).cast("long").alias("vec_id"), F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long")).alias("q"))
+    return rows.where(F.coalesce(fine, F.lit(False))).select(F.col(id_column).cast("long").alias("vec_id"), F.transform(x, lambda v: whole(v.cast("double") * scale)).alias("q"))
 
 
 def top_k(rows: DataFrame, *, id_column: str = "vec_id", vector_column: str = "embedding", scale: int = SCALE, every: int = EVERY, k: int = K, block_rows: int = ROWS, block_queries: int = QUERIES) -> DataFrame:

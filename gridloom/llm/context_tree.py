@@ -34,7 +34,7 @@ BLOCK = 16 << 20
 END_WORD = np.uint64(0x5EED0FE9D1A1B2C3)
 U64 = np.uint64
 TOP = "node int, a double, b double, s double"
-SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, code_bits double, bits_per_byte double"
 
 
 def joined_words(buf: np.ndarray, offsets: np.ndarray):
@@ -356,7 +356,7 @@ class Lookup:
 
 def scores(staged: DataFrame, answered: DataFrame, tokens: int, vocabulary: int, buckets: int) -> DataFrame:
     floor = math.log10(tokens + vocabulary + 1)
-    kinds = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())]
+    kinds = [("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64()), ("code_bits", pa.float64()), ("bits_per_byte", pa.float64())]
 
     def run(docs: pa.Table, found: pa.Table) -> pa.Table:
         order = np.argsort(found.column("bucket").to_numpy())
@@ -382,14 +382,17 @@ def scores(staged: DataFrame, answered: DataFrame, tokens: int, vocabulary: int,
                 base = np.append(0, np.cumsum(gain[word]))
                 known = np.append(0, np.cumsum(c[word] > 0))
                 n = np.diff(first) + 1
-                out.append(pa.table([id_array(doc_ids[a:b], null[a:b]), pa.array(~train[a:b].astype(bool) & ~null[a:b].astype(bool)), pa.array(n), pa.array(known[first[1:]] - known[first[:-1]] + int(c[end] > 0)), pa.array(np.full(b - a, tokens)), pa.array(base[first[1:]] - base[first[:-1]] + gain[end] - n * floor), pa.array(score / math.log(10))], schema=pa.schema(kinds)))
+                out.append(pa.table([id_array(doc_ids[a:b], null[a:b]), pa.array(~train[a:b].astype(bool) & ~null[a:b].astype(bool)), pa.array(n), pa.array(known[first[1:]] - known[first[:-1]] + int(c[end] > 0)), pa.array(np.full(b - a, tokens)), pa.array(base[first[1:]] - base[first[:-1]] + gain[end] - n * floor), pa.array(score / math.log(10)), pa.array(-score / math.log(2)), pa.array(-score / math.log(2) / np.diff(at))], schema=pa.schema(kinds)))
         return pa.concat_tables(out) if out else pa.schema(kinds).empty_table()
 
     return staged.where("bucket = -1").groupBy("block").cogroup(answered.groupBy("block")).applyInArrow(run, SCORES)
 
 
 def text_scores(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", folds: int = FOLDS, held_out: int = HELD_OUT, buckets: int | None = None, block_bytes: int = BLOCK, scope: Scope | None = None) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score (log10) of every row.
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score (log10), code_bits and bits_per_byte of every row.
+
+    code_bits is the length of the text's code; its bytes are those of its words joined by one
+    blank, and the end symbol.
 
     Rows whose crc32(id) modulo folds is not held_out train; rows with a null id neither train
     nor are held out. A null text is empty: its end alone is scored. Repeated rows count and

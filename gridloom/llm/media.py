@@ -131,13 +131,24 @@ def read_tensors(data: bytes) -> pa.Table:
     return pa.ipc.open_stream(data).read_all()
 
 
+def read_frames(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Time spans of the tensors of a message, and their log-mel frames one after another."""
+    table = read_tensors(data)
+    spans = np.stack([table.column(i).to_numpy() for i in (0, 1)], 1)
+    frames = [chunk.storage.flatten().to_numpy(zero_copy_only=False) for chunk in table.column(2).chunks]
+    return spans, np.concatenate(frames or [np.zeros(0, np.float32)]).reshape(-1, MELS)
+
+
 def features(media: bytes) -> tuple[bytes, np.ndarray, bytes, np.ndarray, str]:
-    """Payload, log-mel frames, tensors, segments and a digest of what a stored file holds."""
+    """Payload, log-mel frames, tensors, segments and a digest of what a stored file holds; the digest is over the tensors and their time spans as they are read back."""
     payload, rate = read_wave(media)
     mels = log_mel(resample(np.frombuffer(payload, np.uint8)))
     parts = segments(mels.mean(axis=1))
-    digest = zlib.crc32(parts.astype("<i8").tobytes(), zlib.crc32(np.rint(mels * 100).astype("<i4").tobytes()))
-    return payload, mels, tensor_bytes(mels), parts, f"frames={len(mels)};mels={MELS};segments={len(parts)};mean={mels.mean(dtype=np.float64):.2f};crc={digest:08x}"
+    tensors = tensor_bytes(mels)
+    spans, read = read_frames(tensors)
+    read = read[: len(mels)]
+    digest = zlib.crc32(parts.astype("<i8").tobytes(), zlib.crc32(np.rint(read * 100).astype("<i4").tobytes(), zlib.crc32(np.rint(spans * 1e6).astype("<i8").tobytes())))
+    return payload, mels, tensors, parts, f"frames={len(mels)};mels={MELS};tensors={len(spans)};segments={len(parts)};mean={read.mean(dtype=np.float64):.2f};crc={digest:08x}"
 
 
 def encode(docs: DataFrame, *, id_column: str = "doc_id", text_column: str = "text", unit: int = UNIT) -> DataFrame:

@@ -36,7 +36,7 @@ def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_media_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return media.decode(media.encode(table(spark, sf_dir, "documents"))).drop("tensors", "segments")
+    return media.decode(media.encode(table(spark, sf_dir, "documents"))).drop("tensors")
 
 
 def op7_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -163,6 +163,11 @@ def test_context_tree(spark, docs, texts, empty):
     assert context_tree.text_scores(empty).count() == 0
     lone = spark.createDataFrame([(9, "a", )], "doc_id long, text string") if zlib.crc32(b"9") % 7 == 2 else spark.createDataFrame([(None, "a")], "doc_id long, text string")
     assert context_tree.text_scores(lone).first()["score"] == pytest.approx(16 * math.log10(0.5))
+    assert context_tree.text_scores(lone).first()["bits_per_byte"] == pytest.approx(8)
+    for r in got:
+        assert r["code_bits"] == pytest.approx(-r["score"] * math.log2(10))
+    sizes = keyed((i, len(symbols(x or ""))) for i, x in texts)
+    assert keyed((r["doc_id"], round(r["code_bits"] / r["bits_per_byte"])) for r in got) == sizes
 
 
 def test_mixing(docs, texts, empty):
@@ -265,6 +270,12 @@ def test_media(docs, texts, empty):
     fields = ("n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature")
     assert keyed((r["doc_id"], tuple(r[f] for f in fields)) for r in got) == keyed(expected)
     assert media.decode(media.encode(empty)).count() == 0
+    payload = bytes(random.Random(8).randrange(256) for _ in range(9600))
+    mels, tensors = media.features(media.wave_bytes(payload))[1:3]
+    spans, frames = media.read_frames(tensors)
+    assert (frames[: len(mels)] == mels).all()
+    assert len(spans) == -(-len(mels) // media.FRAMES)
+    assert (spans[1:, 0] == spans[:-1, 1]).all()
 
 
 def test_top_k_edges(spark):
@@ -278,6 +289,13 @@ def test_top_k_edges(spark):
         expected += [(q, n + 1, i, -s) for n, (s, i) in enumerate(best)]
     assert got == sorted(expected)
     assert bitsliced.top_k(df.where("false")).count() == 0
+    wide = [(i, [random.Random(i).uniform(-4e6, 4e6) for _ in range(3)]) for i in range(60)]
+    q = {i: [math.floor(256 * v) for v in x] for i, x in wide}
+    best = lambda a: sorted((-sum(x * y for x, y in zip(q[a], q[i], strict=True)), i) for i in q if i != a)[:5]
+    large = spark.createDataFrame(wide, "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, bitsliced.top_k(large).collect())) == [(a, n + 1, i, -s) for a in (0, 50) for n, (s, i) in enumerate(best(a))]
+    with pytest.raises(Exception, match="too large"):
+        bitsliced.top_k(spark.createDataFrame([(0, [1e30, 1.0]), (1, [1e30, 1.0])], "vec_id long, embedding array<double>")).collect()
 
 
 def test_language_id(spark, docs, empty):
