@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from gridloom.functions import coerce, geometry, lenient_json, paths
 from gridloom.operators import grid, suppression
+from gridloom.tables import Scope
 
 
 def one(spark, column):
@@ -64,14 +65,8 @@ def test_suppression_edges(spark):
     assert keep(spark, [], 0.3) == []
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_suppression_equals_sequential(spark, seed):
-    rnd = random.Random(seed)
-    boxes = []
-    for _ in range(60):
-        x, y = rnd.randint(0, 60), rnd.randint(0, 60)
-        boxes.append((rnd.randint(0, 9) / 10, (x, y, x + rnd.randint(1, 25), y + rnd.randint(1, 25))))
-    boxes += boxes[:10]
+def walked(boxes, t):
+    """Sequential greedy suppression of (score, box) pairs."""
 
     def iou(a, b):
         s = max(0, min(a[2], b[2]) - max(a[0], b[0])) * max(0, min(a[3], b[3]) - max(a[1], b[1]))
@@ -80,9 +75,44 @@ def test_suppression_equals_sequential(spark, seed):
 
     kept = []
     for s, b in sorted(boxes, key=lambda x: -x[0]):
-        if all(iou(b, k) < 0.35 for _, k in kept):
+        if all(iou(b, k) < t for _, k in kept):
             kept.append((s, b))
-    assert keep(spark, boxes, 0.35) == [s for s, _ in kept]
+    return [s for s, _ in kept]
+
+
+def strewn(seed, n, extent, most):
+    rnd = random.Random(seed)
+    corners = [(rnd.randint(0, extent), rnd.randint(0, extent)) for _ in range(n)]
+    boxes = [(rnd.randint(0, 9) / 10, (x, y, x + rnd.randint(1, most), y + rnd.randint(1, most))) for x, y in corners]
+    return boxes + boxes[:10]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_suppression_equals_sequential(spark, seed):
+    boxes = strewn(seed, 60, 60, 25)
+    assert keep(spark, boxes, 0.35) == walked(boxes, 0.35)
+
+
+@pytest.mark.parametrize("limit", [25, 5])
+def test_crowded_tiles_decide_in_turns(spark, limit, monkeypatch):
+    monkeypatch.setattr(suppression, "TILE_BOXES", limit)
+    monkeypatch.setattr(suppression, "SHARES", (0.02, 0.1, 0.3))
+    boxes = strewn(9, 150, 60, 25) + [(0.55, (-200, -200, 300, 300)), (0.55, (-190, -210, 300, 300))]
+    assert keep(spark, boxes, 0.3) == walked(boxes, 0.3)
+
+
+def test_rounds_do_not_follow_the_chain(spark):
+    scope = Scope(spark)
+    rows = [(0.5, "t", i, (4.0 * i, 0.0, 4.0 * i + 10, 10.0)) for i in range(1000)]
+    df = spark.createDataFrame(rows, "score double, tile_id string, position int, orig_px_bbox struct<x0:double,y0:double,x1:double,y1:double>")
+    assert sorted(r["position"] for r in suppression.suppress(df, 0.4, scope=scope).collect()) == list(range(0, 1000, 2))
+    assert len(scope.paths) <= 9
+
+
+def test_boxes_that_meet_none(spark):
+    rows = [(0.9, "t", 0, (0.0, 0.0, 4.0, 4.0)), (None, "t", 1, (0.0, 0.0, 4.0, 4.0)), (0.8, "t", 2, (0.0, 0.0, 0.0, 4.0)), (0.7, "t", 3, None), (0.6, "t", 4, (0.0, 0.0, float("inf"), 4.0)), (0.5, "t", 5, (0.0, None, 4.0, 4.0))]
+    df = spark.createDataFrame(rows, "score double, tile_id string, position int, orig_px_bbox struct<x0:double,y0:double,x1:double,y1:double>")
+    assert sorted(r["position"] for r in suppression.suppress(df, 0.4).collect()) == [0, 2, 3, 4, 5]
 
 
 CASES = [
