@@ -98,7 +98,7 @@ def log_mel(audio: np.ndarray) -> np.ndarray:
 
 
 def segments(energy: np.ndarray) -> np.ndarray:
-    """Frame ranges (first, after) that start at an energy over the high mark and last while it stays over the low mark."""
+    """Frame ranges (first, after) in which the energy stays over the low mark and somewhere reaches the high mark."""
     low, high = np.quantile(energy, [LOW, HIGH])
     over = np.concatenate([[False], energy > low, [False]])
     first, after = np.flatnonzero(over[1:] & ~over[:-1]), np.flatnonzero(~over[1:] & over[:-1])

@@ -134,7 +134,10 @@ class Network:
         doc = np.repeat(np.arange(len(count)), count)
         chunk = np.maximum(np.maximum(half[left], half[right]), 0)
         F_ = FILTERS
-        dchunk = dx[doc, :F_] / count[doc][:, None] + dx[doc, F_ : 2 * F_] * (chunk == x[doc, F_ : 2 * F_]) + dx[doc, 2 * F_ : 3 * F_] * (chunk == x[doc, 2 * F_ : 3 * F_])
+        dchunk = dx[doc, :F_] / count[doc][:, None]
+        for k in (1, 2):  # neighbours often tie, as they share a half: each gets its share
+            tied = (chunk == x[doc, k * F_ : (k + 1) * F_]).astype(np.float32)
+            dchunk += dx[doc, k * F_ : (k + 1) * F_] * tied / np.add.reduceat(tied, cfirst[:-1], axis=0)[doc]
         dchunk = np.where(chunk > 0, dchunk, 0)
         dhalf = np.zeros_like(half)
         takes = half[left] >= half[right]
